@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as feat
 from ..operators import ingest
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, measured, scratch_path
 from ..sources.files import read_layer, write_layer
 from ..sources.fixtures import read_events, staging_from_events
 
@@ -30,19 +30,44 @@ class Layers:
     types: DataFrame
     accounts: DataFrame
     transactions: DataFrame
+    base_path: str | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
+    def compute_sender_features(self) -> DataFrame:
+        return feat.sender_features(self.transactions, self.accounts)
+
+    def compute_ml_features(self, sender_feats: DataFrame | None = None) -> DataFrame:
+        return feat.ml_features(self.transactions, self.types,
+                                sender_feats if sender_feats is not None
+                                else self.sender_features)
+
+    def _refreshed(self) -> None:
+        if "sf" not in self._cache:
+            if self.base_path:
+                self._cache["sf"], self._cache["ml"] = refresh_features(self, self.base_path)
+            else:
+                self._cache["sf"] = self.compute_sender_features()
+                self._cache["ml"] = self.compute_ml_features(self._cache["sf"])
+
     @property
     def sender_features(self) -> DataFrame:
+        """``mv_sender_features``: the refreshed table when the layers are
+        materialized, else the lazy computation."""
         if "sf" not in self._cache:
-            self._cache["sf"] = feat.sender_features(self.transactions, self.accounts)
+            if not self.base_path:
+                self._cache["sf"] = self.compute_sender_features()
+            else:
+                self._refreshed()
         return self._cache["sf"]
 
     @property
     def ml_features(self) -> DataFrame:
+        """``mv_ml_features`` (refreshed table or lazy computation)."""
         if "ml" not in self._cache:
-            self._cache["ml"] = feat.ml_features(self.transactions, self.types,
-                                                 self.sender_features)
+            if not self.base_path:
+                self._cache["ml"] = self.compute_ml_features()
+            else:
+                self._refreshed()
         return self._cache["ml"]
 
     def v_transactions(self) -> DataFrame:
@@ -50,17 +75,32 @@ class Layers:
 
 
 def build_layers(spark: SparkSession, staging: DataFrame, as_of: datetime | None = None,
-                 accounts: DataFrame | None = None, types: DataFrame | None = None) -> Layers:
+                 accounts: DataFrame | None = None, types: DataFrame | None = None,
+                 base_path: str | None = None) -> Layers:
     """Promote ``staging`` into core. ``accounts``/``types`` are the existing
-    dimensions (None on a first load: types start from the five seeds)."""
+    dimensions (None on a first load: types start from the five seeds).
+
+    With ``base_path`` the load is materialized like the reference's
+    tables: types and accounts are written and re-read, the fact table is
+    written once and read back, and the feature tables are refreshed on
+    first use (C11). Without it everything stays lazy.
+    """
     checkpoint_dir(spark)
     valid, quarantined = ingest.validate_constraints(staging)
     types = ingest.upsert_types(valid, types if types is not None else ingest.seed_types(spark))
     if accounts is not None:
         accounts = ingest.touch_last_seen(accounts, valid, as_of)
     accounts = ingest.upsert_accounts(valid, accounts, as_of)
+    if base_path:
+        write_layer(types, f"{base_path}/transaction_types", "overwrite")
+        types = measured(read_layer(spark, f"{base_path}/transaction_types"))
+        write_layer(accounts, f"{base_path}/accounts", "overwrite")
+        accounts = read_layer(spark, f"{base_path}/accounts")
     txns = ingest.promote_transactions(valid, types, accounts, as_of)
-    return Layers(staging, valid, quarantined, types, accounts, txns)
+    if base_path:
+        write_layer(txns, f"{base_path}/transactions", "overwrite")
+        txns = read_layer(spark, f"{base_path}/transactions")
+    return Layers(staging, valid, quarantined, types, accounts, txns, base_path)
 
 
 def refresh_features(layers: Layers, base_path: str) -> tuple[DataFrame, DataFrame]:
@@ -69,10 +109,9 @@ def refresh_features(layers: Layers, base_path: str) -> tuple[DataFrame, DataFra
     two tables as read back from storage."""
     spark = layers.transactions.sparkSession
     sf_path, ml_path = f"{base_path}/mv_sender_features", f"{base_path}/mv_ml_features"
-    write_layer(layers.sender_features, sf_path, "overwrite")
+    write_layer(layers.compute_sender_features(), sf_path, "overwrite")
     sf = read_layer(spark, sf_path)
-    ml = feat.ml_features(layers.transactions, layers.types, sf)
-    write_layer(ml, ml_path, "overwrite")
+    write_layer(layers.compute_ml_features(sf), ml_path, "overwrite")
     return sf, read_layer(spark, ml_path)
 
 
@@ -86,7 +125,8 @@ def fixture_layers(spark: SparkSession, sf_dir: str, variant: str = "clean") ->
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), variant)
     if key not in _MEMO:
         staging = staging_from_events(read_events(spark, sf_dir), variant)
-        _MEMO[key] = build_layers(spark, staging)
+        _MEMO[key] = build_layers(spark, staging,
+                                  base_path=layer_path(spark, sf_dir, variant, "core"))
     return _MEMO[key]
 
 

@@ -86,7 +86,7 @@ def _sample_exact(L: Layers):
 @register("refresh_features", "C11/S3/S4", raw=True, sql="SELECT * FROM ml_features", bench=False)
 def _refresh(spark, sf_dir):
     layers = fixture_layers(spark, sf_dir)
-    _, ml = refresh_features(layers, layer_path(spark, sf_dir, "clean", "analytics"))
+    _, ml = refresh_features(layers, layer_path(spark, sf_dir, "clean", "refresh"))
     return ml
 
 
@@ -263,12 +263,12 @@ def _a1(L):
 
 @register("sender_features", "A2", sql="SELECT * FROM sender_features")
 def _a2(L):
-    return L.sender_features
+    return L.compute_sender_features()
 
 
 @register("ml_features", "A3", sql="SELECT * FROM ml_features")
 def _a3(L):
-    return L.ml_features
+    return L.compute_ml_features()
 
 
 _A4 = f"""

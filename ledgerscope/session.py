@@ -91,6 +91,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """Broadcast-hint ``df`` only after counting that it has at most
     ``max_rows`` rows; otherwise leave the choice (shuffle join, or AQE's
     own size-based switch) to Spark. Meant for dimensions that are cheap
-    to count (written or checkpointed tables, literal lookups)."""
-    n = df.limit(max_rows + 1).count()
+    to count (written or checkpointed tables, literal lookups). A frame
+    already measured by :func:`measured` is not counted again."""
+    n = getattr(df, "_ls_rows", None)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def measured(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Count a small, materialized frame once and remember the bound."""
+    df._ls_rows = df.limit(max_rows + 1).count()  # noqa: SLF001 - our own tag
+    return df
