@@ -707,6 +707,10 @@ def _m17(L):
 # ML data operators (sampling, split, weights, SMOTE, models) live in ml_plans.
 ml_plans.register_all(register, pct_sql)
 
+from .ml_registry import register_models  # noqa: E402
+
+register_models(register)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: e.fn for k, e in REGISTRY.items()}
