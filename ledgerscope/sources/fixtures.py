@@ -41,7 +41,8 @@ def _mapped_type() -> Column:
     return ty
 
 
-def staging_from_events(events: DataFrame, variant: str = "clean") -> DataFrame:
+def staging_from_events(events: DataFrame, variant: str = "clean",
+                        extra_cols: list[str] | None = None) -> DataFrame:
     """Map events to ``staging.raw_transactions`` rows plus a
     ``transaction_id`` column (event_id + 1).
 
@@ -52,8 +53,9 @@ def staging_from_events(events: DataFrame, variant: str = "clean") -> DataFrame:
     k = F.col("_k")
     amt = F.col("_amt")
     ty = F.col("_ty")
+    extra = list(extra_cols or [])
     base = events.select(
-        "event_id", "ts", "user_id",
+        "event_id", "ts", "user_id", *extra,
         F.regexp_extract("props", "[0-9]+", 0).try_cast("int").alias("_k"),
         F.col("value").cast("decimal(18,2)").alias("_amt"),
         _mapped_type().alias("_ty"),
@@ -81,6 +83,7 @@ def staging_from_events(events: DataFrame, variant: str = "clean") -> DataFrame:
         F.when(fraud, 1).otherwise(0).alias("is_fraud"),
         F.when((ty == "TRANSFER") & (k % 25 == 0) & (amt > 100), 1).otherwise(0)
         .alias("is_flagged_fraud"),
+        *extra,
     )
     if variant == "clean":
         return staging
@@ -116,6 +119,7 @@ def dirty_variant(staging: DataFrame) -> DataFrame:
     def patch(col: str, case: int, value) -> Column:
         return F.when(m == case, value).otherwise(F.col(col)).alias(col)
 
+    rest = [c for c in staging.columns if c not in DIRTY_COLS]
     return staging.select(
         "transaction_id", "step",
         F.when(m == 1, F.lit(None).cast("string"))
@@ -128,4 +132,10 @@ def dirty_variant(staging: DataFrame) -> DataFrame:
         "old_balance_dest", "new_balance_dest",
         patch("is_fraud", 6, F.lit(None).cast("int")),
         "is_flagged_fraud",
+        *rest,
     )
+
+
+DIRTY_COLS = ["transaction_id", "step", "type", "amount", "name_orig", "old_balance_orig",
+              "new_balance_orig", "name_dest", "old_balance_dest", "new_balance_dest",
+              "is_fraud", "is_flagged_fraud"]
