@@ -43,7 +43,7 @@ def feature_matrix(sample: DataFrame) -> DataFrame:
     return out.join(labels, "transaction_id")
 
 
-def test_counts(sizes: dict, test_size: str = TEST_SIZE) -> dict:
+def split_test_counts(sizes: dict, test_size: str = TEST_SIZE) -> dict:
     """ceil(test_size * n) per label, in exact arithmetic."""
     frac = Fraction(test_size)
     return {g: -((-n * frac.numerator) // frac.denominator) for g, n in sizes.items()}
@@ -54,7 +54,7 @@ def stratified_split(df: DataFrame, label: str = "label", test_size: str = TEST_
     """M4: add ``split`` = 'test' for the ceil(test_size * n_label) rows of
     each label with the smallest portable hash, else 'train'. Exact
     per-label counts; no per-label window (labels are two huge groups)."""
-    k = test_counts(stratum_sizes(df, label), test_size)
+    k = split_test_counts(stratum_sizes(df, label), test_size)
     hashed, cond = smallest_k_condition(df, k, key, seed, group=label)
     return hashed.select(*df.columns, F.when(cond, "test").otherwise("train").alias("split"))
 
