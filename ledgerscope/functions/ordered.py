@@ -1,0 +1,71 @@
+"""Per-key ordered window features that survive a hot key.
+
+``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one
+task; a key holding a third of the rows would hold a third of the data in
+one sort. Here the rows are range-partitioned on (key, order...), so a hot
+key is spread over many bounded segments. Running sums, LAG and RANK are
+computed inside each (key, segment) and then corrected with per-segment
+offsets: the totals, row counts and last values of the same key's earlier
+segments. The offset table has one row per (key, segment), and its own
+window covers at most the number of segments of one key.
+
+Range bounds come from sampling seeded by the RDD id, so two evaluations
+of the same range exchange may cut segments differently. The segmented
+rows are therefore frozen with a reliable checkpoint (which also cuts the
+lineage); callers pass only the narrow columns the features need.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window  # noqa: F401
+from pyspark.sql import functions as F
+
+from ..session import reliable_checkpoint
+
+
+def keyed_ordered(df: DataFrame, key: str, order: list[Column], segments: int,
+                  running: dict[str, str] | None = None,
+                  lags: dict[str, str] | None = None,
+                  rank_as: str | None = None) -> DataFrame:
+    """Add running sums (``running`` = {value col: output}), LAG values
+    (``lags`` = {value col: output}) and/or RANK (``rank_as``) per ``key``
+    following ``order`` (Columns; ``F.desc`` allowed). Ties in ``order``
+    stay in one segment (range partitioning assigns equal keys together),
+    so RANK is exact; running sums and LAG need a unique ``order``."""
+    running, lags = running or {}, lags or {}
+    ranged = reliable_checkpoint(df.repartitionByRange(segments, F.col(key), *order)
+                                 .withColumn("_seg", F.spark_partition_id()))
+    w = Window.partitionBy(key, "_seg").orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local_cols = [F.row_number().over(w).alias("_rn")]
+    local_cols += [F.sum(v).over(upto).alias(f"_lc_{v}") for v in running]
+    local_cols += [F.lag(v).over(w).alias(f"_ll_{v}") for v in lags]
+    if rank_as:
+        local_cols.append(F.rank().over(w).alias("_lr"))
+    local = ranged.select("*", *local_cols)
+
+    # ORDER BY terms may be descending; the last row of a segment is the one
+    # that sorts last, i.e. the maximum of the row_number.
+    seg = local.groupBy(key, "_seg").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(v).alias(f"_s_{v}") for v in running],
+        *[F.max_by(v, "_rn").alias(f"_last_{v}") for v in lags],
+    )
+    before = Window.partitionBy(key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    prev = Window.partitionBy(key).orderBy("_seg")
+    off = seg.select(
+        key, "_seg",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_on"),
+        *[F.sum(f"_s_{v}").over(before).alias(f"_o_{v}") for v in running],
+        *[F.lag(f"_last_{v}").over(prev).alias(f"_pl_{v}") for v in lags],
+    )
+    out = local.join(off, [key, "_seg"])
+    fixed = []
+    for v, name in running.items():
+        fixed.append((F.coalesce(F.col(f"_o_{v}"), F.lit(0)) + F.col(f"_lc_{v}")).alias(name))
+    for v, name in lags.items():
+        fixed.append(F.when(F.col("_rn") == 1, F.col(f"_pl_{v}"))
+                     .otherwise(F.col(f"_ll_{v}")).alias(name))
+    if rank_as:
+        fixed.append((F.col("_lr") + F.col("_on")).cast("long").alias(rank_as))
+    return out.select(*df.columns, *fixed)

@@ -53,7 +53,8 @@ def sender_features(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def ml_features(transactions: DataFrame, types: DataFrame,
-                sender_feats: DataFrame) -> DataFrame:
+                sender_feats: DataFrame, skew_safe: bool = True,
+                segments: int | None = None) -> DataFrame:
     """A3: ``mv_ml_features``, one row per transaction.
 
     The window features share one partitioning (sender_id): ``(sender,
@@ -61,7 +62,15 @@ def ml_features(transactions: DataFrame, types: DataFrame,
     order by (step, transaction_id) so ties in a step are deterministic.
     Sender totals come from A2 (joined on sender_id; both sides are already
     hash-partitioned on it).
+
+    ``skew_safe`` (default) avoids per-sender windows altogether: the
+    ordered features come from range-partitioned segments
+    (functions.ordered), the same-step count and the z-score moments are
+    aggregates joined back, so a sender with a third of all rows is spread
+    over many tasks.
     """
+    if skew_safe:
+        return _ml_features_skew_safe(transactions, types, sender_feats, segments)
     by_sender = Window.partitionBy("sender_id")
     ordered = by_sender.orderBy("step", "transaction_id")
     by_amount = by_sender.orderBy(F.desc("amount"))
@@ -122,3 +131,62 @@ def point_in_time_features(transactions: DataFrame) -> DataFrame:
         count_if("is_fraud").over(past).alias("past_fraud"),
         F.sum("amount").over(past).cast(SUM_MONEY).alias("past_amount"),
     )
+
+
+def _derived(df: DataFrame) -> list:
+    return [
+        (F.col("sender_balance_pre") - F.col("sender_balance_post")).cast(SUM_MONEY)
+        .alias("sender_balance_drop"),
+        (F.col("recip_balance_post") - F.col("recip_balance_pre")).cast(SUM_MONEY)
+        .alias("recipient_balance_gain"),
+        F.abs(F.col("amount") - (F.col("recip_balance_post") - F.col("recip_balance_pre")))
+        .cast(SUM_MONEY).alias("dest_balance_mismatch"),
+        flag(F.col("sender_balance_post") == 0).alias("sender_drained"),
+        flag(F.col("recip_balance_pre") == 0).alias("dest_was_empty"),
+    ]
+
+
+def _ml_features_skew_safe(transactions: DataFrame, types: DataFrame,
+                           sender_feats: DataFrame, segments: int | None) -> DataFrame:
+    from ..functions.ordered import keyed_ordered
+
+    spark = transactions.sparkSession
+    n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = ["transaction_id", "step", "type_id", "amount", "sender_id", "sender_balance_pre",
+            "sender_balance_post", "recip_balance_pre", "recip_balance_post", "is_fraud"]
+    base = transactions.select(*cols)
+    seq = keyed_ordered(base, "sender_id", [F.col("step"), F.col("transaction_id")], n,
+                        running={"amount": "sender_cumulative_amount"},
+                        lags={"amount": "sender_prev_amount"})
+    ranks = keyed_ordered(base.select("transaction_id", "sender_id", "amount"), "sender_id",
+                          [F.desc("amount")], n, rank_as="sender_amount_rank"
+                          ).select("transaction_id", "sender_amount_rank")
+    same_step = base.groupBy("sender_id", "step").agg(
+        F.count(F.lit(1)).alias("sender_txns_same_step"))
+    sf = sender_feats.select(
+        "sender_id",
+        F.col("total_txn_count").alias("sender_total_txns"),
+        F.col("avg_amount").alias("sender_avg_amount"),
+        F.col("fraud_rate").alias("sender_historical_fraud_rate"),
+        F.col("unique_recipients").alias("sender_unique_recipients"),
+        F.col("stddev_amount").alias("_std"),
+    )
+    amount_d = F.col("amount").cast("double")
+    out = (seq.join(ranks, "transaction_id")
+           .join(same_step, ["sender_id", "step"])
+           .join(sf, "sender_id")
+           .join(broadcast_if_small(types), "type_id"))
+    return out.select(
+        "transaction_id", "step", "type_name", "amount", "sender_id",
+        "sender_balance_pre", "sender_balance_post", "recip_balance_pre",
+        "recip_balance_post", "is_fraud", *_derived(out),
+        "sender_amount_rank",
+        F.col("sender_cumulative_amount").cast(SUM_MONEY).alias("sender_cumulative_amount"),
+        "sender_txns_same_step",
+        F.when(F.col("_std") == 0, F.lit(0.0))
+        .otherwise((amount_d - F.col("sender_avg_amount")) / F.col("_std"))
+        .alias("sender_amount_zscore"),
+        "sender_prev_amount",
+        "sender_total_txns", "sender_avg_amount", "sender_historical_fraud_rate",
+        "sender_unique_recipients",
+    )

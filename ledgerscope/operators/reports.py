@@ -207,11 +207,21 @@ def burst_senders(transactions: DataFrame, accounts: DataFrame, min_count: int =
     ).orderBy(F.desc("txn_count"), "account_ref", "step")
 
 
-def _balance_gaps(transactions: DataFrame, tol: float) -> DataFrame:
-    w = Window.partitionBy("sender_id").orderBy("step", "transaction_id")
-    df = transactions.select(
-        "transaction_id", "sender_id", "step", "sender_balance_pre",
-        F.lag("sender_balance_post").over(w).alias("prev_balance_post"))
+def _balance_gaps(transactions: DataFrame, tol: float, skew_safe: bool = True) -> DataFrame:
+    cols = ["transaction_id", "sender_id", "step", "sender_balance_pre", "sender_balance_post"]
+    if skew_safe:
+        from ..functions.ordered import keyed_ordered
+        n = int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = keyed_ordered(transactions.select(*cols), "sender_id",
+                           [F.col("step"), F.col("transaction_id")], n,
+                           lags={"sender_balance_post": "prev_balance_post"})
+        df = df.select("transaction_id", "sender_id", "step", "sender_balance_pre",
+                       "prev_balance_post")
+    else:
+        w = Window.partitionBy("sender_id").orderBy("step", "transaction_id")
+        df = transactions.select(
+            "transaction_id", "sender_id", "step", "sender_balance_pre",
+            F.lag("sender_balance_post").over(w).alias("prev_balance_post"))
     gap = F.abs(F.col("sender_balance_pre") - F.col("prev_balance_post"))
     return df.where(F.col("prev_balance_post").isNotNull() & (gap > tol)).withColumn(
         "inconsistency", gap.cast(SUM_MONEY))
