@@ -18,6 +18,12 @@ _CLOSED = ("(step + 2) * CAST(3600000000 AS BIGINT) <= date_diff('microsecond',
            "TIMESTAMP '2024-01-01 00:00:00', (SELECT MAX(ts) FROM events))")
 
 
+def _utc(spark) -> None:
+    """Event time is stored without a zone; the fixture reads it as UTC
+    (FIXTURES.md), so hour windows line up with steps."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def _fresh(spark, name: str) -> tuple[str, str]:
     base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
     return f"{base}/sink", f"{base}/checkpoint"
@@ -27,17 +33,20 @@ def register_streams(register, fraud_trend_sql: str, burst_sql: str) -> None:
     @register("stream_fraud_trend", "A5/stream", raw=True, bench=False,
               sql=f"SELECT * FROM ({fraud_trend_sql}) x WHERE {_CLOSED}")
     def _trend(spark, sf_dir):
+        _utc(spark)
         valid = sp.staged_stream(sp.event_stream(spark, sf_dir))
         return sp.run_to_table(sp.hourly_fraud_trend(valid), *_fresh(spark, "trend"))
 
     @register("stream_burst_senders", "Q7/stream", raw=True, bench=False, variant="burst",
               sql=f"SELECT * FROM ({burst_sql}) x WHERE {_CLOSED}")
     def _bursts(spark, sf_dir):
+        _utc(spark)
         valid = sp.staged_stream(sp.event_stream(spark, sf_dir), "burst")
         return sp.run_to_table(sp.hourly_bursts(valid), *_fresh(spark, "bursts"))
 
     @register("stream_score", "D6-D8/D7 stream", raw=True, bench=False)
     def _score(spark, sf_dir):
+        _utc(spark)
         r = trained(spark, sf_dir)
         model, meta = models.load_artifact(f"{r.artifact_path}/fraud_model")
         valid = sp.staged_stream(sp.event_stream(spark, sf_dir))
