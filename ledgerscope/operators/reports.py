@@ -178,22 +178,50 @@ PERCENTILES = [0.25, 0.50, 0.75, 0.90, 0.99]
 
 
 def amount_percentiles(transactions: DataFrame, types: DataFrame,
-                       exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+                       method: str = "distributed", accuracy: int = 10_000) -> DataFrame:
     """Q6: PERCENTILE_CONT at 25/50/75/90/99 % and the maximum per type.
 
-    ``exact`` uses Spark's exact ``percentile`` (its buffer holds one entry
-    per distinct amount of the group); ``exact=False`` uses the mergeable
-    ``percentile_approx`` sketch, whose memory is fixed by ``accuracy``.
+    ``distributed`` (default, exact): count rows per (type, amount) with
+    map-side partial aggregation, take cumulative counts per type in amount
+    order with the skew-safe ordered window (a type is a hot key by nature),
+    pick the two values around position p * (n - 1) and interpolate as
+    PostgreSQL does: lo + (hi - lo) * frac. No group buffers all its values.
+    ``builtin`` uses Spark's exact ``percentile`` (one buffer entry per
+    distinct amount of a type); ``approx`` the mergeable
+    ``percentile_approx`` sketch of fixed memory.
     """
-    amount = F.col("amount").cast("double")
-    probs = F.array(*[F.lit(p) for p in PERCENTILES])
-    q = (F.percentile(amount, probs) if exact
-         else F.percentile_approx(amount, probs, accuracy))
-    per_type = transactions.groupBy("type_id").agg(q.alias("_q"),
-                                                   F.max("amount").alias("max_amount"))
     names = ["p25", "p50", "p75", "p90", "p99"]
+    if method in ("builtin", "approx"):
+        amount = F.col("amount").cast("double")
+        probs = F.array(*[F.lit(p) for p in PERCENTILES])
+        q = (F.percentile(amount, probs) if method == "builtin"
+             else F.percentile_approx(amount, probs, accuracy))
+        per_type = transactions.groupBy("type_id").agg(q.alias("_q"),
+                                                       F.max("amount").alias("max_amount"))
+        return per_type.join(broadcast_if_small(types), "type_id").select(
+            "type_name", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)],
+            "max_amount")
+    from ..functions.ordered import keyed_ordered
+
+    n_seg = int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = (transactions.where(F.col("amount").isNotNull())
+              .groupBy("type_id", "amount").agg(F.count(F.lit(1)).alias("_c")))
+    cum = keyed_ordered(counts, "type_id", [F.col("amount")], n_seg, running={"_c": "_cum"})
+    totals = counts.groupBy("type_id").agg(F.sum("_c").alias("_n"))
+    # a distinct amount covers 0-based positions [_cum - _c, _cum - 1]
+    cum = cum.join(totals, "type_id")
+    aggs = [F.max("amount").alias("max_amount")]
+    for p, nm in zip(PERCENTILES, names):
+        pos = (F.col("_n") - 1).cast("double") * p
+        for side, bound in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = (F.col("_cum") - F.col("_c") <= bound) & (bound < F.col("_cum"))
+            aggs.append(F.max(F.when(hit, F.col("amount").cast("double"))).alias(f"_{nm}_{side}"))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"_{nm}_frac"))
+    per_type = cum.groupBy("type_id").agg(*aggs)
+    interp = [(F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo"))
+               * F.col(f"_{nm}_frac")).alias(nm) for nm in names]
     return per_type.join(broadcast_if_small(types), "type_id").select(
-        "type_name", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)], "max_amount")
+        "type_name", *interp, "max_amount")
 
 
 def burst_senders(transactions: DataFrame, accounts: DataFrame, min_count: int = 5) -> DataFrame:
