@@ -28,17 +28,19 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
 
 
 def _cumulative(counts: DataFrame) -> DataFrame:
-    """Cumulative tp/fp at each threshold (score >= t), plus totals."""
-    desc = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding,
-                                                       Window.currentRow)
-    whole = Window.partitionBy()
-    return counts.select(
-        "score", "pos", "neg",
-        F.sum("pos").over(desc).alias("tp"),
-        F.sum("neg").over(desc).alias("fp"),
-        F.sum("pos").over(whole).alias("P"),
-        F.sum("neg").over(whole).alias("N"),
-    )
+    """Cumulative tp/fp at each threshold (score >= t), plus totals.
+
+    A model's scores are nearly all distinct, so the per-score table grows
+    with the scored rows; the running sums use the range-segmented ordered
+    window (functions.ordered) instead of one un-partitioned window. Totals
+    are a one-row aggregate joined on a constant key."""
+    from ..functions.ordered import keyed_ordered
+
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = counts.withColumn("_k", F.lit(0))
+    cum = keyed_ordered(keyed, "_k", [F.desc("score")], n, running={"pos": "tp", "neg": "fp"})
+    tot = keyed.groupBy("_k").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return cum.join(F.broadcast(tot), "_k").select("score", "pos", "neg", "tp", "fp", "P", "N")
 
 
 def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
