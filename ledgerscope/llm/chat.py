@@ -58,23 +58,23 @@ def branches(nodes: DataFrame, top: int = 1) -> DataFrame:
     jumps = []
     size = max(1, nodes.count())
     while True:
-        jumps.append(step.filter("jump IS NOT NULL").select("tree", "node", "jump"))
-        if step.filter("jump IS NOT NULL").isEmpty() or 1 << (len(jumps) - 1) > 2 * size:
+        going, done = step.filter("jump IS NOT NULL"), step.filter("jump IS NULL")
+        if going.isEmpty() or 1 << len(jumps) > 2 * size:  # what goes on after that is below a cycle
             break
+        jumps.append(going.select("tree", "node", "jump"))
         above = step.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("jump").alias("j"),
                             F.col("steps").alias("s"), F.col("sum").alias("v"))
         step = reliable_checkpoint(
-            step.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("n")), "left")
-            .select(*key, F.col("j").alias("jump"),
-                    (F.col("steps") + F.coalesce("s", F.lit(0))).alias("steps"),
-                    (F.col("sum") + F.coalesce("v", F.lit(0.0))).alias("sum")))
-    reached = step.filter("jump IS NULL")  # nodes below a cycle never end
+            going.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("n")))
+            .select(*key, F.col("j").alias("jump"), (F.col("steps") + F.col("s")).alias("steps"),
+                    (F.col("sum") + F.col("v")).alias("sum")).unionByName(done))
+    reached = step.filter("jump IS NULL")
     leaf = reached.join(has_reply.select(F.col("tree").alias("t"), F.col("node").alias("n")),
                         F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
     w = Window.partitionBy("tree").orderBy(F.desc("sum"), "node")
     path = (leaf.withColumn("path", F.row_number().over(w)).filter(F.col("path") <= top)
             .select("tree", "path", "node", (F.col("steps") - 1).alias("depth")))
-    for k in reversed(range(len(jumps) - 1)):
+    for k in reversed(range(len(jumps))):
         j = jumps[k].select(F.col("tree").alias("t"), F.col("node").alias("n"), "jump")
         more = path.join(j, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).select(
             "tree", "path", F.col("jump").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
