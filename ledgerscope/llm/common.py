@@ -49,6 +49,12 @@ def parts_for(spark: SparkSession, total_bytes: int, task_bytes: int = TASK_BYTE
     return max(1, least, math.ceil(total_bytes / task_bytes))
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Remove a working table that this run wrote and has read for the last time."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def worker_cache(key, make):
     """``make()`` once per Python worker process and key. Executors that are
     lost only lose the cache; the next task builds it again."""
@@ -56,3 +62,20 @@ def worker_cache(key, make):
     if key not in holder.__dict__:
         holder.__dict__[key] = make()
     return holder.__dict__[key]
+
+
+def order_parts(total_bytes: int, small: int = 16 << 20) -> int:
+    """Partitions of an ordered exchange whose consumers start anew in each:
+    from the data's size alone, so small tables aren't cut into slivers."""
+    return max(1, min(math.ceil(total_bytes / small), max(1024, math.ceil(total_bytes / TASK_BYTES))))
+
+
+def in_id_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text) range-partitioned and sorted by identifier, equal
+    identifiers by text; null texts are empty. Sampled bounds include a hash of
+    the text, so one identifier on very many rows still spreads."""
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    parts = order_parts(text_bytes(docs, text_col))
+    return (rows.withColumn("h", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "h")
+            .sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text"))

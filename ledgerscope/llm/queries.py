@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from .bpe import op7_byte_bpe
 from .chat import OP9_SQL, op9_chat_formatting
 from .content_dedup import OP6_SQL, op6_exact_dedup
+from .packing import op2_packing
+from .rans import op10_token_files
 from .rules import op8_quality_rules
 from .sharding import op1_sharding
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_packing": op2_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLES = {"op6_exact_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL}
