@@ -146,7 +146,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, e
     def run(batches):
         tokenizer = chunk_tokenizer(tokenizer_path)
         packer = Packer(sentence_ends(tokenizer.tokenizer), window, TaskContext.get().partitionId() << 32)
-        close = np.array([end_id], "<u4").tobytes()
+        close = np.array([end_id], "<u4")
         rows, size = [], 0
 
         def packed():
@@ -154,14 +154,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, e
             names = [f.split()[0] for f in SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1)):
-                ids = np.frombuffer(tokenizer.encode(text.as_py()) + close, "<u4")
-                rows += packer.add(key.as_py(), ids)
-                size += ids.nbytes
-                if rows and size >= OUT_BYTES:
-                    yield packed()
-                    rows, size = [], 0
+        for key, ids in tokenizer.documents(batches):
+            rows += packer.add(key, np.append(ids, close))
+            size += ids.nbytes
+            if rows and size >= OUT_BYTES:
+                yield packed()
+                rows, size = [], 0
         rows += packer.flush(last=True)
         if rows:
             yield packed()

@@ -1,102 +1,145 @@
 """Whole-text tokenization with a public tokenizer file.
 
-The tokenizer drops white space between words, so a text's ids are the ids of its
-chunks between spaces and line breaks, one after the other. Each distinct chunk is
-encoded once by the tokenizers library and remembered per worker, in two
-generations of bounded size: when the young one is full it becomes the old one, so
-frequent chunks stay. A chunk of letters with one ASCII mark behind it is the
-letters' ids and the mark's; an ASCII chunk is looked up in lower case, as the
-tokenizer lower-cases. Any other white space stays inside its chunk and is left to
-the library. Strings of special tokens in a text are ordinary text.
+The tokenizer drops white space between words, lower-cases, and keeps letters and
+marks apart, so a text's ids are the ids of its chunks, one after the other, where
+chunks end at spaces and line breaks, and between a plain letter and one mark before
+a space. Arrow finds the distinct chunks of some megabytes of text; each is encoded
+once by the tokenizers library and remembered per worker, in two generations of
+bounded size: when the young one is full it becomes the old one, so frequent chunks
+stay. Any other white space stays inside its chunk and is left to the library.
+Strings of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
+import os
+from array import array
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import worker_cache
 
-GENERATION = 400_000
+GENERATION = 100_000
 REMEMBER_CHARS = 64
-MARKS = frozenset(".,;:!?")
+#: One mark behind a letter that stays as it is when composed, before a space.
+MARK_BEHIND_WORD = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,;:!?])( |$)"
+PLAIN_TO = "\u00ff"
 SEPARATOR = ","
-#: Letters below this stay single letters when composed and lower-cased.
-PLAIN_BELOW = "\u0130"
+#: Chunks joined into one call of the library.
+JOIN = 400
+#: Bytes of text encoded at once.
+SLICE_BYTES = 8 << 20
 
 
 class ChunkTokenizer:
     """Ids (little-endian unsigned 16 or 32 bit) of whole texts."""
 
     def __init__(self, path: str, width: int = 4):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.type = {2: "<u2", 4: "<u4"}[width]
+        self.type, self.code = {2: ("<u2", "H"), 4: ("<u4", "I")}[width]
+        names = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_names = {b: names.pre_tokenize_str(bytes([0xC3, b]).decode())[0][0][1]
+                           for b in range(0x80, 0xC0)}  # the name of a byte behind 0xC3
+        self.byte_names[0xC3] = names.pre_tokenize_str("\u00e9")[0][0][0]
+        self.byte_names[0xC2] = names.pre_tokenize_str("\u00b5")[0][0][0]
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         (self.separator,) = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
 
-    def _learn(self, chunks) -> list[str]:
-        """Put the ids of ``chunks`` into ``known``; those of once-seen
-        compounds are to be forgotten after use."""
-        known, old, fresh, compounds, passing = self.known, self.old, [], [], []
-        for c in chunks:
-            if (ids := old.get(c)) is not None:
-                known[c] = ids
-                continue
-            key, mark = (c.lower() if c.isascii() else c), ""
-            if key[-1] in MARKS and key[:-1].isalpha() and max(key) < PLAIN_BELOW:
-                key, mark = key[:-1], key[-1]
-            if key not in known:
-                if (ids := old.get(key)) is not None:
-                    known[key] = ids
-                else:
-                    fresh.append(key)
-                    known[key] = b""
-                    if c != key:
-                        passing.append(c)
-            if mark and mark not in known:
-                fresh.append(mark)
-                known[mark] = b""
-            if c != key:
-                compounds.append((c, key, mark))
-        self._encode(fresh)
-        for c, key, mark in compounds:
-            known[c] = known[key] + known[mark] if mark else known[key]
-        return passing + [c for c in fresh if len(c) > REMEMBER_CHARS]
-
     def _encode(self, chunks: list[str]) -> None:
-        """One call for all chunks without the separator: their ids are cut at
-        the separator's id, which only the separator itself can give."""
-        joined = [c for c in chunks if SEPARATOR not in c]
-        if joined:
-            ids = np.array(self.tokenizer.encode(f" {SEPARATOR} ".join(joined), add_special_tokens=False).ids,
-                           self.type)
-            raw, size = ids.tobytes(), ids.itemsize
-            start = 0
-            for c, end in zip(joined, [*(np.flatnonzero(ids == self.separator) * size).tolist(), len(raw)]):
+        """A chunk of plain lower-case letters is one word for the model, which
+        needs neither normalizing nor cutting. Of the others, chunks without the
+        separator are joined by it; their ids are cut at its id, which only the
+        separator standing alone can give."""
+        known, tokenize, code = self.known, self.tokenizer.model.tokenize, self.code
+        others = []
+        for c in chunks:
+            if not c.isalpha():
+                others.append(c)
+            elif c.isascii():
+                known[c] = array(code, [t.id for t in tokenize(c)]).tobytes()
+            elif max(c) <= PLAIN_TO and c.islower():
+                raw = c.encode("utf-8").decode("latin-1").translate(self.byte_names)
+                known[c] = array(code, [t.id for t in tokenize(raw)]).tobytes()
+            else:
+                others.append(c)
+        joined = [c for c in others if SEPARATOR not in c]
+        groups = [joined[i:i + JOIN] for i in range(0, len(joined), JOIN)]
+        calls = [f" {SEPARATOR} ".join(g) for g in groups]
+        for group, got in zip(groups, self.tokenizer.encode_batch_fast(calls, add_special_tokens=False)):
+            ids = np.array(got.ids, self.type)
+            raw, size, start = ids.tobytes(), ids.itemsize, 0
+            for c, end in zip(group, [*(np.flatnonzero(ids == self.separator) * size).tolist(), len(raw)]):
                 self.known[c] = raw[start:end]
                 start = end + size
-        if len(joined) < len(chunks):
-            rest = [c for c in chunks if SEPARATOR in c]
-            for c, got in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-                self.known[c] = np.array(got.ids, self.type).tobytes()
+        rest = [c for c in others if SEPARATOR in c]
+        for c, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known[c] = np.array(got.ids, self.type).tobytes()
 
-    def encode(self, text: str) -> bytes:
+    def _ids_of(self, words: list[str]) -> list[bytes]:
         if len(self.known) >= GENERATION:
             self.old, self.known = self.known, {"": b""}
-        chunks = text.replace("\n", " ").split(" ")
-        missing = set(chunks).difference(self.known)
-        passing = self._learn(missing) if missing else ()
-        out = b"".join(map(self.known.__getitem__, chunks))
-        for c in passing:
-            self.known.pop(c, None)
+        known, old, fresh = self.known, self.old, []
+        for w in words:
+            if w not in known:
+                if (ids := old.get(w)) is not None:
+                    known[w] = ids
+                else:
+                    fresh.append(w)
+        if fresh:
+            self._encode(fresh)
+        out = list(map(known.__getitem__, words))
+        for w in fresh:
+            if len(w) > REMEMBER_CHARS:
+                del known[w]
         return out
 
+    def encode(self, text: str) -> bytes:
+        """The ids of one text."""
+        return self.encode_column(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's end.
+        Nulls are empty. Chunks are told apart by Arrow's dictionary, so Python
+        sees each distinct chunk of the column once."""
+        plain = pc.ascii_lower(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "))
+        lists = pc.split_pattern(pc.replace_substring_regex(plain, MARK_BEHIND_WORD, r"\1 \2\3"), " ")
+        chunks = lists.flatten().dictionary_encode()
+        of_word = self._ids_of(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(of_word), self.type)
+        sizes = np.fromiter(map(len, of_word), np.int64, len(of_word)) // ids.itemsize
+        starts = np.cumsum(sizes) - sizes
+        index = chunks.indices.to_numpy()
+        lengths = sizes[index]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        take = np.repeat(starts[index] - (ends - lengths), lengths) + np.arange(total)
+        last = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)) - 1
+        return ids[take], ends[last]
+
+    def documents(self, batches, slice_bytes: int = SLICE_BYTES):
+        """(identifier, ids) of every row of two-column batches, in order. Rows
+        are encoded some megabytes at a time, a longer text on its own."""
+        for batch in batches:
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < len(keys):
+                before = int(sizes[at - 1]) if at else 0
+                stop = max(at + 1, int(np.searchsorted(sizes, before + slice_bytes, "right")))
+                ids, ends = self.encode_column(texts.slice(at, stop - at))
+                start = 0
+                for key, end in zip(keys[at:stop], ends.tolist()):
+                    yield key, ids[start:end]
+                    start = end
+                at = stop
+
 
 def chunk_tokenizer(path: str, width: int = 4) -> ChunkTokenizer:
     """The worker's tokenizer for a file."""
