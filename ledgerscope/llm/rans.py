@@ -44,6 +44,9 @@ BLOCK_TOKENS = 1 << 20
 MAGIC = b"RNS1"
 HEAD = "<4sIIII"
 OUT_BYTES = 8 << 20
+WORK_NAMES = ("part", "at", "doc_id", "n_tokens", "width", "ids", "counts")
+WORK_KINDS = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+WORK_SCHEMA = "part int, at long, doc_id long, n_tokens long, width int, ids binary, counts binary"
 
 
 class FrequencyTable:
@@ -158,7 +161,7 @@ def decode_block(block: bytes, table: FrequencyTable) -> np.ndarray:
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """Rows in identifier order within each part: part, at (ids of the part
     before), doc_id, n_tokens, ids (little-endian unsigned 16 bit where all ids
-    fit, else 32)."""
+    fit, else 32); and for each part a row with how often it has each id."""
 
     def run(batches):
         tokenizer = chunk_tokenizer(tokenizer_path, 2)
@@ -168,45 +171,47 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, te
         width = np.dtype(kind).itemsize
         close = np.array([end_id], kind).tobytes()
         part, at = TaskContext.get().partitionId(), 0
-        rows, size = [], 0
+        rows, size, total = [], 0, np.zeros(tokenizer.tokenizer.get_vocab_size(), np.int64)
 
         def packed():
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                              ["part", "at", "doc_id", "n_tokens", "width", "ids"])
-
-        for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1)):
-                ids = tokenizer.encode(text.as_py()) + close
-                n = len(ids) // width
-                rows.append((part, at, key.as_py(), n, width, ids))
-                at += n
-                size += len(ids)
-                if size >= OUT_BYTES:
-                    yield packed()
-                    rows, size = [], 0
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), WORK_KINDS)], list(WORK_NAMES))
+
+        def counted():
+            own = np.bincount(np.frombuffer(b"".join([r[5] for r in rows]), kind), minlength=len(total))
+            own[:len(total)] += total
+            return own
+
+        for key, ids in tokenizer.documents(batches):
+            rows.append((part, at, key, len(ids) + 1, width, ids.tobytes() + close, None))
+            at += len(ids) + 1
+            size += ids.nbytes
+            if size >= OUT_BYTES:
+                total = counted()
+                yield packed()
+                rows, size = [], 0
         if rows:
+            total = counted()
             yield packed()
+        rows = [(part, at, None, 0, 0, None, total.astype("<i8").tobytes())]
+        yield packed()
 
-    return in_id_order(docs, id_col, text_col).mapInArrow(
-        run, "part int, at long, doc_id long, n_tokens long, width int, ids binary")
+    return in_id_order(docs, id_col, text_col).mapInArrow(run, WORK_SCHEMA)
 
 
-def count_ids(rows: DataFrame) -> DataFrame:
-    """(id, n) over all rows: one dense count per task, summed by Spark."""
+def count_ids(counts: DataFrame) -> DataFrame:
+    """(id, n) from the parts' dense counts, summed in the task first."""
 
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for width, raw in zip(batch.column(0), batch.column(1)):
-                own = np.bincount(np.frombuffer(raw.as_py(), f"<u{width.as_py()}"))
-                if len(own) > len(total):
-                    total = np.pad(total, (0, len(own) - len(total)))
-                total[:len(own)] += own
+            for raw in batch.column(0):
+                own = np.frombuffer(raw.as_py(), "<i8")
+                total = own + (total if len(total) else 0)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
 
-    return rows.select("width", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return counts.select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
@@ -216,9 +221,10 @@ def write_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = E
     work = f"{path}/ids"
     (tokenized(docs, tokenizer_path, end_id, id_col, text_col)
      .write.option("compression", "zstd").parquet(work))
-    rows = spark.read.parquet(work)
-    count_ids(rows).coalesce(1).write.parquet(f"{path}/table")  # one row per vocabulary id at most
-    rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).coalesce(1).write.parquet(f"{path}/parts")
+    rows = spark.read.parquet(work).filter("counts IS NULL")
+    counts = spark.read.parquet(work).filter("counts IS NOT NULL")
+    count_ids(counts).coalesce(1).write.parquet(f"{path}/table")  # one row per vocabulary id at most
+    counts.select("part", F.col("at").alias("n")).coalesce(1).write.parquet(f"{path}/parts")
     counted = spark.read.parquet(f"{path}/table").collect()
     ids, counts = [r["id"] for r in counted], [r["n"] for r in counted]
 
