@@ -5,6 +5,8 @@ from __future__ import annotations
 from .bpe import op7_byte_bpe
 from .chat import OP9_SQL, op9_chat_formatting
 from .content_dedup import OP6_SQL, op6_exact_dedup
+from .fm import op4_quality_classifier
+from .ngram_join import OP5_SQL, op5_ngram_join
 from .packing import op2_packing
 from .rans import op10_token_files
 from .rules import op8_quality_rules
@@ -13,6 +15,8 @@ from .sharding import op1_sharding
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_ngram_join": op5_ngram_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
@@ -20,4 +24,4 @@ QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLES = {"op6_exact_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL}
+ORACLES = {"op5_ngram_join": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL}
