@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import sys
 import types
@@ -55,6 +56,14 @@ def drop_table(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of frames that are out of use
+    now, instead of when the driver next happens to collect garbage: a job of
+    several written steps then needs the disk of one step at a time."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def worker_cache(key, make):
     """``make()`` once per Python worker process and key. Executors that are
     lost only lose the cache; the next task builds it again."""

@@ -4,10 +4,12 @@ A document's set is its distinct word 3-grams (fewer words: the whole sequence a
 one), as 63-bit hashes. Documents with equal sets are one class, found by a 128-bit
 digest, so copies never meet pair by pair. Each class offers the first codes of its
 set under one global order as candidate records: two sets of Jaccard similarity j
-share one of their first n - ceil(j n) + 1 codes. The order puts rare codes first:
-codes seen three times or more within a batch are counted over the whole table, and
-the ``ORDERED`` most frequent are put last by frequency (the order steers cost alone;
-any order gives the same links). ``setlink`` turns records into blocks, joins
+share k of their first n - ceil(j n) + k codes, here with k = 2 + n / ``EXTRA``, so
+texts that have a few grams in common by chance are no candidates. The order puts grams with a rare
+word first: words are counted over the whole table (those seen ``OFTEN_IN_BATCH``
+times within a batch at least), and a gram's place is the rank of its rarest word
+among the ``ORDERED`` most frequent. The order steers cost alone; any order gives the
+same links. ``setlink`` turns records into blocks, joins
 them by prefix trees and finds the components.
 
 Defined results: no words (or null): an empty set, linked with nothing, its component
@@ -27,14 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import setlink
-from .common import parts_for, read_table, reliable_checkpoint, scratch_path, text_bytes
-from .shingles import gram_sets, slices
+from .common import (drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
+                     text_bytes)
+from .shingles import WordRanks, gram_hashes, gram_sets, rarest_first, slices, word_hashes
 
 WORDS = 3
 #: (1 + j) / (1 - j) for a similarity of j = 0.9.
 FACTOR = 19
 ORDERED = 1 << 16
-OFTEN_IN_BATCH = 3
+OFTEN_IN_BATCH = 4
+EXTRA = 40
+SETS = "sid long, key binary, n int, codes binary, large int"
 
 
 def digest_of(codes: np.ndarray) -> bytes:
@@ -45,63 +50,52 @@ def sid_of(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-class CodeOrder:
-    """Order codes: rare grams keep their 63-bit hash, frequent ones come after
-    all of them, the most frequent last."""
-
-    def __init__(self, frequent: list[int]):
-        self.rank_of = np.argsort(np.array(frequent, np.uint64), kind="stable")
-        self.frequent = np.array(frequent, np.uint64)[self.rank_of]
-
-    def codes(self, grams: np.ndarray) -> np.ndarray:
-        if not len(self.frequent):
-            return grams
-        at = np.minimum(np.searchsorted(self.frequent, grams), len(self.frequent) - 1)
-        found = self.frequent[at] == grams
-        return np.sort(np.where(found, self.rank_of[at].astype(np.uint64) | np.uint64(1 << 63), grams))
-
-
 def _classes(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of documents (doc_id, n, key, sid) and rows of frequent grams (gram, times)."""
+    """Rows of documents (doc_id, n, key, sid) and rows of frequent words (word, times)."""
 
     def run(batches):
         for batch in batches:
-            ids, sizes, keys, sids, every = [], [], [], [], []
+            ids, sizes, keys, sids, seen = [], [], [], [], []
             for part in slices(batch):
-                for i, grams in zip(part.column(0).to_pylist(), gram_sets(part.column(1), size)):
+                words, ends = word_hashes(part.column(1))
+                start = 0
+                for i, end in zip(part.column(0).to_pylist(), ends.tolist()):
+                    grams = np.unique(gram_hashes(words[start:end], size))
                     ids.append(i)
                     sizes.append(len(grams))
                     keys.append(digest_of(grams) if len(grams) else None)
                     sids.append(sid_of(keys[-1]) if len(grams) else None)
-                    every.append(grams)
-            grams, times = np.unique(np.concatenate(every), return_counts=True)
+                    start = end
+                seen.append(words)
+            words, times = np.unique(np.concatenate(seen), return_counts=True)
             often = times >= OFTEN_IN_BATCH
-            grams, times = grams[often], times[often]
-            n, m = len(ids), len(grams)
+            words, times = words[often], times[often]
+            n, m = len(ids), len(words)
             yield pa.RecordBatch.from_arrays([
                 pa.array([True] * n + [False] * m), pa.array(ids + [None] * m, pa.int64()),
                 pa.array(sizes + [None] * m, pa.int64()), pa.array(keys + [None] * m, pa.binary()),
                 pa.array(sids + [None] * m, pa.int64()),
-                pa.array([None] * n + grams.astype(np.int64).tolist(), pa.int64()),
+                pa.array([None] * n + words.view(np.int64).tolist(), pa.int64()),
                 pa.array([None] * n + times.tolist(), pa.int64())],
-                ["is_doc", "doc_id", "n", "key", "sid", "gram", "times"])
+                ["is_doc", "doc_id", "n", "key", "sid", "word", "times"])
 
     return docs.mapInArrow(
-        run, "is_doc boolean, doc_id long, n long, key binary, sid long, gram long, times long")
+        run, "is_doc boolean, doc_id long, n long, key binary, sid long, word long, times long")
 
 
-def _records(docs: DataFrame, size: int, factor: int, order: CodeOrder) -> DataFrame:
+def _records(docs: DataFrame, size: int, factor: int, frequent: list[int]) -> DataFrame:
     """(token, sid): each set's first codes."""
 
     def run(batches):
+        ranks = WordRanks(frequent)
         for batch in batches:
             for part in slices(batch):
                 tokens, sids = [], []
-                for grams in gram_sets(part.column(1), size):
+                for grams, ordered in rarest_first(part.column(1), size, ranks):
                     n = len(grams)
                     if n:
-                        first = n + (-n * (factor - 1) // (factor + 1)) + 1
-                        tokens.append(order.codes(grams)[:first])
+                        first = min(n, n + (-n * (factor - 1) // (factor + 1)) + 2 + n // EXTRA)
+                        tokens.append(ordered[:first])
                         sids.append(np.full(first, sid_of(digest_of(grams)), np.int64))
                 if tokens:
                     yield pa.RecordBatch.from_arrays([
@@ -111,23 +105,23 @@ def _records(docs: DataFrame, size: int, factor: int, order: CodeOrder) -> DataF
     return docs.mapInArrow(run, "token long, sid long")
 
 
-def _sets(docs: DataFrame, size: int, order: CodeOrder) -> DataFrame:
-    """(sid, key, n, codes) of the documents' sets."""
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """(sid, key, n, codes, large) of the sets of documents (doc_id, text, large)."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 rows = []
-                for grams in gram_sets(part.column(1), size):
+                for grams, large in zip(gram_sets(part.column(1), size), part.column(2).to_pylist()):
                     if len(grams):
                         key = digest_of(grams)
-                        rows.append((sid_of(key), key, len(grams), order.codes(grams).astype("<u8").tobytes()))
+                        rows.append((sid_of(key), key, len(grams), grams.astype("<u8").tobytes(), large))
                 if rows:
-                    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+                    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                     ["sid", "key", "n", "codes"])
+                                                     ["sid", "key", "n", "codes", "large"])
 
-    return docs.mapInArrow(run, "sid long, key binary, n int, codes binary")
+    return docs.mapInArrow(run, SETS)
 
 
 def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR, id_col: str = "doc_id",
@@ -136,24 +130,37 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
     spark = docs.sparkSession
     parts = parts_for(spark, text_bytes(docs, text_col))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    both = reliable_checkpoint(_classes(texts, size))
-    rows = both.filter("is_doc").select("doc_id", "n", "key", "sid")
-    often = (both.filter("NOT is_doc").groupBy("gram").agg(F.sum("times").alias("t"))
-             .orderBy(F.desc("t"), "gram").limit(ORDERED).orderBy("t", "gram").collect())
-    order = CodeOrder([r["gram"] for r in often])
-
     base = scratch_path(spark, f"ngram-join-{uuid.uuid4().hex}")
-    _records(texts, size, factor, order).write.parquet(f"{base}/records")
-    members = reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/records")))
-    classes = rows.filter("key IS NOT NULL").groupBy("key", "sid").agg(F.min("doc_id").alias("rep"))
-    needed = (classes.join(members.select("sid").distinct(), "sid", "left_semi")
-              .select(F.col("rep").alias("doc_id")).distinct())
-    found = texts.join(needed, "doc_id", "left_semi")
-    nameless = texts.filter("doc_id IS NULL")  # not reached by identifier
-    (_sets(found.unionByName(nameless), size, order).dropDuplicates(["key"])
-     .write.parquet(f"{base}/sets"))
-    links = setlink.links_of(members, spark.read.parquet(f"{base}/sets"), factor, parts)
+    _classes(texts, size).write.parquet(f"{base}/classes")
+    both = spark.read.parquet(f"{base}/classes")
+    rows = both.filter("is_doc").select("doc_id", "n", "key", "sid")
+    often = (both.filter("NOT is_doc").groupBy("word").agg(F.sum("times").alias("t"))
+             .orderBy(F.desc("t"), "word").limit(ORDERED).collect())
+    frequent = [r["word"] for r in reversed(often)]  # at most ORDERED words
+
+    _records(texts, size, factor, frequent).write.parquet(f"{base}/records")
+    classes = rows.filter("key IS NOT NULL").groupBy("key", "sid", "n").agg(F.min("doc_id").alias("rep"))
+    # a partner has at least (factor - 1) / (factor + 1) times the grams
+    needs = classes.select("sid", F.expr(
+        f"least(2 + (n * {factor - 1} div {factor + 1}) div {EXTRA}, ceil(n * {factor - 1}D / {factor + 1}))"
+    ).alias("need"))
+    members = reliable_checkpoint(setlink.worth_joining(
+        reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/records"), needs)),
+        classes.select("sid", "n"), factor))
+    drop_table(spark, f"{base}/records")
+    release(spark)
+    in_large = members.groupBy("sid").agg((F.max("m") > setlink.SMALL).cast("int").alias("large"))
+    needed = (classes.join(in_large, "sid").groupBy(F.col("rep").alias("doc_id"))
+              .agg(F.max("large").alias("large")))
+    found = texts.join(needed, "doc_id").dropDuplicates(["doc_id", "text"])
+    nameless = (texts.filter("doc_id IS NULL").dropDuplicates(["text"])  # not reached by identifier
+                .withColumn("large", F.lit(1)))
+    _sets(found.unionByName(nameless), size).write.partitionBy("large").parquet(f"{base}/sets")
+    release(spark)
+    links = setlink.links_of(members, spark.read.schema(SETS).parquet(f"{base}/sets"), factor, parts)
     links.write.parquet(f"{base}/links")
+    drop_table(spark, f"{base}/sets")
+    release(spark)
 
     tree = setlink.components(spark.read.parquet(f"{base}/links"))
     rooted = (classes.join(tree.withColumnRenamed("node", "key"), "key", "left")
@@ -165,6 +172,17 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def keep_one_of_each(docs: DataFrame, size: int = 5, factor: int = 9, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component of documents that are similar at
+    0.8 (``factor`` 9) in their word 5-grams: the one with the least identifier. Rows
+    without identifier and documents without words stay."""
+    mark = "_c_" + "_".join(docs.columns)
+    component = similar_documents(docs, size, factor, id_col, text_col)
+    gone = component.filter("doc_id <> component_id AND n_shingles > 0").select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(gone, docs[id_col].cast("long") == gone[mark], "left_anti")
+
+
 def op5_ngram_join(spark, sf_dir: str) -> DataFrame:
     return similar_documents(read_table(spark, sf_dir, "documents"))
 

@@ -8,6 +8,7 @@ from .content_dedup import OP6_SQL, op6_exact_dedup
 from .fm import op4_quality_classifier
 from .ngram_join import OP5_SQL, op5_ngram_join
 from .packing import op2_packing
+from .paragraphs import op3_substring_dedup
 from .rans import op10_token_files
 from .rules import op8_quality_rules
 from .sharding import op1_sharding
@@ -15,6 +16,7 @@ from .sharding import op1_sharding
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_join": op5_ngram_join,
     "op6_exact_dedup": op6_exact_dedup,

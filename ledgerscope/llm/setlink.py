@@ -13,15 +13,17 @@ blocks are formed by pivot: the many tokens that the same sets share fall togeth
   mismatches, and a subtree is left as soon as the mismatches, with what the
   remaining lengths must add, exceed what its sets allow.
 * A larger block (a hot group of near copies) is never joined pair by pair. Its sets
-  are compared with a pivot, then with the set closest to that pivot, which in a
-  group of edited copies is the text they were made from. Sets linked with it are
-  connected by that. The rest ("outer" sets) can only be linked to a set that shares
-  an element of the difference from the pivot: with e = |D| - (n + n_pivot) / factor
-  > 0, a link needs an overlap of differences of at least e * factor / (factor + 1),
-  and of more than |D| (factor - 1) / (2 factor). So differences, a few elements
-  each, are blocked by prefixes of their own and joined by the same prefix tree.
-  Blocks of these that are still large are cut into chunks, and pairs of chunks
-  spread over tasks; no pair is dropped and none is written unless it is linked.
+  are compared with the block's centre C, the elements that half of them have: in a
+  group of edited copies, the text they were made from. With D = A xor C and
+  g(A) = factor * |D| - |A|, two sets whose differences have nothing in common are
+  linked just if g(A) + g(B) <= 0, and such sets stay linked if they do have. So all
+  of these links run over the set H with the least g: who may be linked so to anyone
+  is linked to H. A set that isn't ("outer") is linked only where its difference
+  overlaps by at least (g(A) + g(B)) / (2 * factor) > 0. So the differences of outer
+  sets, a few elements each, are blocked by prefixes of their own and joined with all
+  others by the same prefix tree. Blocks of these that are still large are cut into
+  chunks, and pairs of chunks spread over tasks; no pair is dropped and none is
+  written unless it is linked.
 
 Every task emits a spanning forest of its links. Components are found by the
 alternating large-star and small-star rounds, each checkpointed.
@@ -30,18 +32,17 @@ alternating large-star and small-star rounds, each checkpointed.
 from __future__ import annotations
 
 from bisect import bisect_right
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import reliable_checkpoint
 
-SMALL = 96
-CHUNK = 256
+SMALL = 256
+CHUNK = 1024
 
 LINKS = "a binary, b binary"
 
@@ -150,63 +151,100 @@ def _group_links(rows: DataFrame, parts: int, factor: int) -> DataFrame:
             .sortWithinPartitions("grp").mapInArrow(run, LINKS))
 
 
-def members_of(records: DataFrame) -> DataFrame:
-    """(pivot, sid) from candidate records (token, sid), without tokens that only
-    one sid has; the pivot is a member of its block."""
-    pivots = (records.groupBy("token").agg(F.min("sid").alias("pivot"), F.max("sid").alias("other"))
-              .filter("pivot <> other").select("token", "pivot"))
-    others = records.join(pivots, "token").filter("sid <> pivot").select("pivot", "sid").distinct()
+def members_of(records: DataFrame, needs: DataFrame | None = None) -> DataFrame:
+    """(pivot, sid) from candidate records (token, sid), without tokens that only one
+    sid has; a block's pivot is one of its members. ``needs`` (sid, need): sids with
+    fewer shared tokens than they need are left out."""
+    def shared_by_two(rows):
+        return (rows.groupBy("token").agg(F.min("sid").alias("pivot"), F.max("sid").alias("other"))
+                .filter("pivot <> other").select("token", "pivot"))
+
+    if needs is not None:
+        shared = reliable_checkpoint(records.join(shared_by_two(records), "token").select("token", "sid").distinct())
+        enough = (shared.groupBy("sid").agg(F.count("*").alias("c")).join(needs, "sid")
+                  .filter("c >= need").select("sid"))
+        records = reliable_checkpoint(shared.join(enough, "sid", "left_semi"))
+    others = (records.join(shared_by_two(records), "token").filter("sid <> pivot")
+              .select("pivot", "sid").distinct())
     return others.unionByName(others.select("pivot", F.col("pivot").alias("sid")).distinct())
 
 
+def worth_joining(members: DataFrame, sizes: DataFrame, factor: int) -> DataFrame:
+    """(pivot, sid, m): the members (pivot, sid) that can have a link in their block
+    by its sets' sizes (sid, n) alone, and the block's size. Blocks beyond ``SMALL``
+    are left whole, as their members are not to meet in one task."""
+    counted = members.join(members.groupBy("pivot").agg(F.count("*").alias("m")), "pivot")
+    small = counted.filter(F.col("m") <= SMALL).join(sizes, "sid")
+    w = Window.partitionBy("pivot").orderBy("n", "sid")
+    before, after = F.lag("n").over(w), F.lead("n").over(w)
+    near = (factor * (F.col("n") - before) <= F.col("n") + before) | (factor * (after - F.col("n")) <= F.col("n") + after)
+    return (small.withColumn("near", near).filter("near").select("pivot", "sid", "m")
+            .unionByName(counted.filter(F.col("m") > SMALL).select("pivot", "sid", "m")))
+
+
 def links_of(members: DataFrame, sets: DataFrame, factor: int, parts: int) -> DataFrame:
-    """All links (a, b) between keys, as forests: ``members`` (pivot, sid) and
-    ``sets`` (sid, key, n, codes) should both be stored."""
-    sizes = members.groupBy("pivot").agg(F.count("*").alias("m"))
-    sized = members.join(sizes, "pivot")
-    small = (sized.filter(F.col("m") <= SMALL).join(sets, "sid")
+    """All links (a, b) between keys, as forests: ``members`` (pivot, sid, m) and
+    ``sets`` (sid, key, n, codes, large: 1 if in a large block), both stored, the
+    sets in folders by ``large``."""
+    small = (members.filter(F.col("m") <= SMALL).join(sets, "sid")
              .select(F.col("pivot").alias("grp"), F.lit(WITHIN).alias("side"), "key", "n", "codes"))
-    return _group_links(small, parts, factor).unionByName(
-        _large_links(sized.filter(F.col("m") > SMALL).select("pivot", "sid"), sets, factor, parts))
+    large = members.filter(F.col("m") > SMALL).select("pivot", "sid")
+    links = _group_links(small, parts, factor)
+    if large.isEmpty():
+        return links
+    return links.unionByName(_large_links(large, sets.filter("large = 1"), factor, parts))
+
 
+def _centres(own: DataFrame) -> DataFrame:
+    """(pivot, centre): of each block, the codes that at least half of its sets
+    have, so at most twice as many as a set has on average."""
+    def explode(batches):
+        for batch in batches:
+            codes = [np.frombuffer(x, "<i8") for x in batch.column(1).to_pylist()]
+            pivots = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(c) for c in codes])
+            yield pa.RecordBatch.from_arrays([pa.array(pivots, pa.int64()), pa.array(np.concatenate(codes))],
+                                             ["pivot", "code"])
+
+    counts = (own.select("pivot", "codes").mapInArrow(explode, "pivot long, code long")
+              .groupBy("pivot", "code").agg(F.count("*").alias("c")))
+    sizes = own.groupBy("pivot").agg(F.count("*").alias("m"))
+    return (sizes.join(counts, "pivot", "left").filter("c IS NULL OR 2 * c >= m").groupBy("pivot")
+            .agg(F.collect_list("code").alias("centre")))
 
-def _differences(rows: DataFrame, factor: int) -> DataFrame:
-    """Rows (pivot, sid, key, n, codes, pkey, pn, pcodes) to (pivot, sid, key, n,
-    pkey, d, diff, prefix, is_outer): the difference from the pivot's set, and how
-    many of its codes its prefix has."""
 
+def _differences(rows: DataFrame) -> DataFrame:
+    """Rows (pivot, key, n, codes, centre) to (pivot, key, n, d, diff)."""
     def run(batches):
-        names = ["pivot", "sid", "key", "n", "pkey", "d", "diff", "prefix", "is_outer"]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32(),
-                 pa.bool_()]
         for batch in batches:
-            out = []
-            for pivot, sid, key, n, codes, pkey, pn, pcodes in zip(*(c.to_pylist() for c in batch.columns)):
-                diff = np.setxor1d(np.frombuffer(codes, "<u8"), np.frombuffer(pcodes, "<u8"), assume_unique=True)
-                d = len(diff)
-                outer = factor * d > n + pn
-                least = d * (factor - 1) // (2 * factor) + 1
-                if outer:
-                    least = max(least, -(-(factor * d - n - pn) // (factor + 1)))
-                out.append((pivot, sid, key, n, pkey, d, diff.astype("<u8").tobytes(), max(0, d - least + 1), outer))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+            pivots, keys, sizes, codes, centres = batch.columns
+            diffs, held, centre = [], None, None
+            for raw, c in zip(codes.to_pylist(), centres):
+                if centre is None or c != held:
+                    held, centre = c, np.array(c.as_py() or [], np.int64).view(np.uint64)
+                diffs.append(np.setxor1d(np.frombuffer(raw, "<u8"), centre, assume_unique=True))
+            yield pa.RecordBatch.from_arrays(
+                [pivots, keys, sizes, pa.array([len(x) for x in diffs], pa.int32()),
+                 pa.array([x.astype("<u8").tobytes() for x in diffs], pa.binary())],
+                ["pivot", "key", "n", "d", "diff"])
 
-    return rows.select("pivot", "sid", "key", "n", "codes", "pkey", "pn", "pcodes").mapInArrow(
-        run, "pivot long, sid long, key binary, n int, pkey binary, d int, diff binary, prefix int, is_outer boolean")
+    return rows.select("pivot", "key", "n", "codes", "centre").mapInArrow(
+        run, "pivot long, key binary, n int, d int, diff binary")
 
 
 def _large_links(members: DataFrame, sets: DataFrame, factor: int, parts: int) -> DataFrame:
-    own = members.join(sets, "sid")
-    centre = sets.select(F.col("sid").alias("psid"), F.col("key").alias("pkey"), F.col("n").alias("pn"),
-                         F.col("codes").alias("pcodes"))
-    first = reliable_checkpoint(
-        _differences(own.join(centre, F.col("pivot") == F.col("psid")), factor)
-        .select("pivot", "sid", "key", "pkey", "d", "is_outer"))
-    closest = (first.filter("d > 0").groupBy("pivot").agg(F.min_by("sid", F.struct("d", "sid")).alias("psid")))
-    second = reliable_checkpoint(
-        _differences(own.join(closest, "pivot").join(centre, "psid"), factor))
-    to_pivot = [x.filter("NOT is_outer AND key <> pkey").select(F.col("key").alias("a"), F.col("pkey").alias("b"))
-                for x in (first, second)]
+    own = members.join(sets, "sid").select("pivot", "key", "n", "codes")
+    diffs = reliable_checkpoint(_differences(own.join(_centres(own), "pivot")).withColumn(
+        "g", F.lit(factor).cast("long") * F.col("d") - F.col("n")))
+    hub = diffs.groupBy("pivot").agg(F.min_by(F.struct("g", "key"), F.struct("g", "key")).alias("hub"))
+    placed = diffs.join(hub, "pivot").select(
+        "pivot", "key", "n", "d", "diff", F.col("hub.key").alias("hub_key"),
+        (F.col("g") + F.col("hub.g") > 0).alias("is_outer"),
+        # the overlap that any link of an outer set needs: by the sizes, and by the least g
+        F.greatest(F.lit(1), F.ceil((F.col("g") - F.ceil(F.col("n") * (factor + 1) / (factor - 1))) / factor),
+                   F.when(F.col("g") + F.col("hub.g") > 0, F.ceil((F.col("g") + F.col("hub.g")) / (2 * factor)))
+                   .otherwise(F.ceil((F.col("g") - F.col("hub.g")) / (2 * factor)))).alias("least"))
+    second = reliable_checkpoint(placed.withColumn("prefix", F.col("d") - F.col("least").cast("int") + 1))
+    to_hub = second.filter("NOT is_outer AND key <> hub_key").select(F.col("key").alias("a"), F.col("hub_key").alias("b"))
 
     def tokens(batches):
         for batch in batches:
@@ -220,7 +258,7 @@ def _large_links(members: DataFrame, sets: DataFrame, factor: int, parts: int) -
             columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    records = reliable_checkpoint(second.filter("d > 0").select("pivot", "key", "diff", "prefix", "is_outer")
+    records = reliable_checkpoint(second.filter("d > 0 AND prefix > 0").select("pivot", "key", "diff", "prefix", "is_outer")
                                   .mapInArrow(tokens, "grp long, pivot long, key binary, is_outer boolean"))
     shared = (records.groupBy("grp").agg(F.count("*").alias("m"), F.max("is_outer").alias("any_outer"))
               .filter("m > 1 AND any_outer").select("grp", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")))
@@ -232,7 +270,7 @@ def _large_links(members: DataFrame, sets: DataFrame, factor: int, parts: int) -
                      F.when(F.col("own") == F.col("other"), WITHIN).when(F.col("own") > F.col("other"), 1)
                      .otherwise(0).alias("side"), "pivot", "key"))
     rows = units.join(second.select("pivot", "key", "n", F.col("diff").alias("codes")), ["pivot", "key"])
-    return reduce(DataFrame.unionByName, to_pivot, _group_links(rows, parts, factor))
+    return to_hub.unionByName(_group_links(rows, parts, factor))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -253,5 +291,6 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
         seen = now

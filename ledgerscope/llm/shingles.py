@@ -69,3 +69,35 @@ def gram_sets(texts: pa.Array, size: int):
     for end in ends.tolist():
         yield np.unique(gram_hashes(words[start:end], size))
         start = end
+
+
+class WordRanks:
+    """How frequent words are: 0 for words that are not in the list, then 1 for
+    the least frequent of the list and so on."""
+
+    def __init__(self, from_rare_to_frequent: list[int]):
+        words = np.array(from_rare_to_frequent, np.int64).view(np.uint64)
+        order = np.argsort(words, kind="stable")
+        self.words, self.ranks = words[order], order + 1
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.ranks[at], 0)
+
+
+def rarest_first(texts: pa.Array, size: int, ranks: WordRanks):
+    """The set of n-gram hashes of each text, sorted, and again in the order of
+    the rank of each gram's rarest word, equal ranks by hash. (A hash belongs to one
+    gram, so the second order is the same for all texts.)"""
+    words, ends = word_hashes(texts)
+    rank = ranks.of(words)
+    start = 0
+    for end in ends.tolist():
+        grams, first = np.unique(gram_hashes(words[start:end], size), return_index=True)
+        own = rank[start:end]
+        n = end - start - size + 1
+        rarest = np.minimum.reduce([own[k:k + n] for k in range(size)]) if n > 0 else own[:1] * 0
+        yield grams, grams[np.lexsort((grams, rarest[first]))] if len(grams) else grams
+        start = end

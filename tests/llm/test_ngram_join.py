@@ -5,9 +5,10 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerscope.llm import ngram_join, setlink
+from ledgerscope.llm import ngram_join, setlink, shingles
 
 from .conftest import AWKWARD
 
@@ -130,11 +131,15 @@ def test_components(spark):
         assert got.get(start, start) == min(seen)
 
 
-def test_code_order():
-    order = ngram_join.CodeOrder([50, 7, 90])
-    codes = order.codes(np.array([5, 7, 50, 60, 90, 95], np.uint64)).tolist()
-    top = 1 << 63
-    assert codes == [5, 60, 95, top, top | 1, top | 2]
+def test_rarest_first():
+    texts = pa.array(["a b c d", "d c b a x", "", "q"])
+    words, _ = shingles.word_hashes(pa.array(["b c d"]))
+    ranks = shingles.WordRanks(words.view(np.int64).tolist())
+    assert ranks.of(shingles.word_hashes(texts)[0]).tolist() == [0, 1, 2, 3, 3, 2, 1, 0, 0, 0]
+    for (plain, ordered), own in zip(shingles.rarest_first(texts, 3, ranks), shingles.gram_sets(texts, 3)):
+        assert plain.tolist() == own.tolist() and sorted(ordered.tolist()) == own.tolist()
+    first = list(shingles.rarest_first(pa.array(["a b c d"]), 3, ranks))[0][1][0]
+    assert first in shingles.gram_hashes(shingles.word_hashes(pa.array(["a b c"]))[0], 3)
 
 
 def test_sql(spark, small):
