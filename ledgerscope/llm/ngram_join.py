@@ -145,7 +145,8 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
         f"least(2 + (n * {factor - 1} div {factor + 1}) div {EXTRA}, ceil(n * {factor - 1}D / {factor + 1}))"
     ).alias("need"))
     members = reliable_checkpoint(setlink.worth_joining(
-        reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/records"), needs)),
+        reliable_checkpoint(setlink.blocks_of(
+            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/records"), needs)))),
         classes.select("sid", "n"), factor))
     drop_table(spark, f"{base}/records")
     release(spark)

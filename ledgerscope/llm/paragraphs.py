@@ -50,7 +50,7 @@ MIN_WORDS = 24
 #: Words between two repeated paragraphs of a passage that go with them.
 BRIDGE_WORDS = 8
 
-UNITS = "doc_id long, at long, words int, start long, length long, key binary, sid long, band0 long, band1 long, band2 long"
+UNITS = "doc_id long, at long, words int, start long, length long, sid long, key long"
 _SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0x24093822299F31D0)]
 
 
@@ -100,11 +100,6 @@ class Units:
                   for seed in _SEEDS[:2]]
         self.keys = np.stack(halves, axis=1).astype("<u8")
 
-    def key_array(self, chosen) -> pa.Array:
-        raw = np.ascontiguousarray(self.keys[chosen]).tobytes()
-        return pa.FixedSizeBinaryArray.from_buffers(
-            pa.binary(16), len(chosen), [None, pa.py_buffer(raw)]).cast(pa.binary())
-
     def grams(self, unit: int) -> np.ndarray:
         a = self.first[unit]
         return np.unique(gram_hashes(self.words[a:a + self.count[unit]], GRAM))
@@ -123,34 +118,41 @@ class Units:
 
 
 def _units(docs: DataFrame) -> DataFrame:
+    """The paragraphs; (sid, key) are the two halves of their 128-bit keys."""
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
             for part in slices(batch):
                 units = Units(part.column(1))
                 chosen = np.flatnonzero(units.count >= LEAST_WORDS)
-                bands = []
-                for long, values in [units.signatures()]:
-                    for v in values:
-                        whole, mask = np.zeros(len(units.count), np.int64), np.ones(len(units.count), bool)
-                        whole[long], mask[long] = v, False
-                        bands.append(pa.array(whole[chosen], mask=mask[chosen]))
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[units.text[chosen]], pa.int64()), pa.array(units.at[chosen], pa.int64()),
                     pa.array(units.count[chosen], pa.int32()), pa.array(units.start[chosen], pa.int64()),
-                    pa.array(units.length[chosen], pa.int64()), units.key_array(chosen),
-                    pa.array(units.keys[chosen, 0].view("<i8")), *bands],
-                    [f.split()[0] for f in UNITS.split(", ")])
+                    pa.array(units.length[chosen], pa.int64()), pa.array(units.keys[chosen, 0].view("<i8")),
+                    pa.array(units.keys[chosen, 1].view("<i8"))], [f.split()[0] for f in UNITS.split(", ")])
 
     return docs.mapInArrow(run, UNITS)
 
 
+def _bands(docs: DataFrame) -> DataFrame:
+    """(token, sid): a record for each band of each long paragraph."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                units = Units(part.column(1))
+                long, values = units.signatures()
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(values)), pa.array(np.tile(units.keys[long, 0].view("<i8"), BANDS))],
+                    ["token", "sid"])
+
+    return docs.mapInArrow(run, "token long, sid long")
+
+
 SETS = "sid long, key binary, n int, codes binary, large int"
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """Gram sets of the wanted paragraphs: documents (doc_id, text, wanted: [key], large)."""
+    """Gram sets of the wanted paragraphs: documents (doc_id, text, wanted: [sid], large)."""
     def run(batches):
         for batch in batches:
             for part in slices(batch):
@@ -158,13 +160,11 @@ def _sets(docs: DataFrame) -> DataFrame:
                 wanted = [set(w) for w in part.column(2).to_pylist()]
                 large = part.column(3).to_pylist()
                 raw = units.keys.tobytes()
-                for u, t in enumerate(units.text.tolist()):
-                    key = raw[16 * u:16 * u + 16]
-                    if key in wanted[t]:
-                        wanted[t].discard(key)
+                for u, (t, sid) in enumerate(zip(units.text.tolist(), units.keys[:, 0].view("<i8").tolist())):
+                    if sid in wanted[t]:
+                        wanted[t].discard(sid)
                         grams = units.grams(u)
-                        rows.append((int.from_bytes(key[:8], "little", signed=True), key, len(grams),
-                                     grams.astype("<u8").tobytes(), large[t]))
+                        rows.append((sid, raw[16 * u:16 * u + 16], len(grams), grams.astype("<u8").tobytes(), large[t]))
                 if rows:
                     kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
@@ -182,40 +182,42 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
         "doc_id IS NOT NULL")
     base = scratch_path(spark, f"paragraphs-{uuid.uuid4().hex}")
-    _units(texts).write.parquet(f"{base}/units")
+    _units(texts).write.option("compression", "zstd").parquet(f"{base}/units")
     units = spark.read.parquet(f"{base}/units")
-    classes = units.groupBy("key").agg(
-        F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"),
-        F.min("sid").alias("sid"), F.min("words").alias("words"), F.min("band0").alias("band0"),
-        F.min("band1").alias("band1"), F.min("band2").alias("band2"))
-    classes.write.parquet(f"{base}/classes")
+    (units.groupBy("sid", "key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"),
+                                     F.min("words").alias("words"))
+     .write.option("compression", "zstd").parquet(f"{base}/classes"))
     release(spark)
     classes = spark.read.parquet(f"{base}/classes")
 
-    records = classes.filter("band0 IS NOT NULL").select(
-        F.explode(F.array("band0", "band1", "band2")).alias("token"), "sid")
+    _bands(texts).write.option("compression", "zstd").parquet(f"{base}/bands")
     members = reliable_checkpoint(setlink.worth_joining(
-        reliable_checkpoint(setlink.members_of(records)),
+        reliable_checkpoint(setlink.blocks_of(
+            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/bands"))))),
         classes.select("sid", (F.col("words") - GRAM + 1).alias("n")), FACTOR))
+    drop_table(spark, f"{base}/bands")
     release(spark)
     in_large = members.groupBy("sid").agg((F.max("m") > setlink.SMALL).cast("int").alias("large"))
     wanted = (classes.join(in_large, "sid").groupBy(F.col("first.doc_id").alias("doc_id"))
-              .agg(F.collect_set("key").alias("wanted"), F.max("large").alias("large")))
+              .agg(F.collect_set("sid").alias("wanted"), F.max("large").alias("large")))
     found = texts.join(wanted, "doc_id")
     _sets(found).write.partitionBy("large").parquet(f"{base}/sets")
     release(spark)
     setlink.links_of(members, spark.read.schema(SETS).parquet(f"{base}/sets"), FACTOR, parts).write.parquet(f"{base}/links")
-    tree = setlink.components(spark.read.parquet(f"{base}/links"))
-    joined = reliable_checkpoint(classes.join(tree.withColumnRenamed("node", "key"), "key")
-                                 .select("key", "root", "first", "last"))
+    half = [F.expr(f"aggregate(sequence({i}, {i + 7}), 0L, (x, i) -> x | shiftleft("
+                   f"cast(conv(hex(substring(node, i + 1, 1)), 16, 10) as long), 8 * (i - {i})))") for i in (0, 8)]
+    tree = setlink.components(spark.read.parquet(f"{base}/links")).select(
+        half[0].alias("sid"), half[1].alias("key"), "root")
+    joined = reliable_checkpoint(classes.join(tree, ["sid", "key"]).select("sid", "key", "root", "first", "last"))
     near = (joined.groupBy("root").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-            .join(joined.select("root", "key"), "root").select("key", "first", "last"))
-    exact = classes.filter("first.doc_id < last").join(joined.select("key"), "key", "left_anti")
-    kept = reliable_checkpoint(exact.select("key", "first", "last").unionByName(near)
-                               .filter("first.doc_id < last").select("key", "first"))
+            .join(joined.select("root", "sid", "key"), "root").select("sid", "key", "first", "last"))
+    exact = classes.filter("first.doc_id < last").join(joined.select("sid", "key"), ["sid", "key"], "left_anti")
+    kept = reliable_checkpoint(exact.select("sid", "key", "first", "last").unionByName(near)
+                               .filter("first.doc_id < last").select("sid", "key", "first"))
+    drop_table(spark, f"{base}/classes")
     release(spark)
 
-    again = (units.select("doc_id", "at", "words", "start", "length", "key").join(kept, "key")
+    again = (units.join(kept, ["sid", "key"])
              .filter("first.doc_id < doc_id").dropDuplicates(["doc_id", "at"])
              .select("doc_id", "at", "words", "start", "length", F.col("first.doc_id").alias("keep_doc_id"),
                      F.col("first.at").alias("keep_at"), (F.col("at") - F.col("first.at")).alias("shift")))

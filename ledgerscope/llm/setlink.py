@@ -169,6 +169,18 @@ def members_of(records: DataFrame, needs: DataFrame | None = None) -> DataFrame:
     return others.unionByName(others.select("pivot", F.col("pivot").alias("sid")).distinct())
 
 
+def blocks_of(members: DataFrame) -> DataFrame:
+    """(pivot, sid): where the sets that hang together by candidates (pivot, sid) are
+    at most ``SMALL``, all of them are one block, so each is moved once; larger ones
+    keep the blocks of their pivots."""
+    tree = reliable_checkpoint(components(members.select(F.col("pivot").alias("a"), F.col("sid").alias("b"))))
+    sizes = tree.groupBy("root").agg(F.count("*").alias("held"))
+    sized = tree.join(sizes, "root")
+    small = sized.filter(F.col("held") <= SMALL).select(F.col("root").alias("pivot"), F.col("node").alias("sid"))
+    rest = sized.filter(F.col("held") > SMALL).select(F.col("node").alias("sid"))
+    return small.unionByName(members.join(rest, "sid", "left_semi").select("pivot", "sid"))
+
+
 def worth_joining(members: DataFrame, sizes: DataFrame, factor: int) -> DataFrame:
     """(pivot, sid, m): the members (pivot, sid) that can have a link in their block
     by its sets' sizes (sid, n) alone, and the block's size. Blocks beyond ``SMALL``
