@@ -6,3 +6,10 @@ quality, features, reports, dashboard data, metrics), ``ml`` (model
 workflow), ``plans`` (layer pipeline, registry, oracle SQL) and
 ``streaming`` (Structured Streaming scoring and windowed reports).
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task closures carry the package's functions by value: executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import account_type, normalize_type
 from ..functions.keys import dense_surrogate_key
-from ..schemas import MONEY, SEED_TYPE_NAMES, TYPES
+from ..schemas import MALFORMED, MONEY, SEED_TYPE_NAMES, TYPES
 from ..session import broadcast_if_small
 from ..sources.files import as_of_lit
 
@@ -124,6 +124,10 @@ def account_counts(accounts: DataFrame) -> DataFrame:
 
 
 # ── C10: constraint validation with quarantine ──────────────────────────────
+#: Amounts are NUMERIC(18,2): sixteen digits before the point.
+MONEY_LIMIT = 1e16
+
+
 def _reason_array(staging: DataFrame, types: DataFrame | None):
     checks = [
         ("step_null", F.col("step").isNull()),
@@ -132,10 +136,14 @@ def _reason_array(staging: DataFrame, types: DataFrame | None):
         ("amount_null", F.col("amount").isNull()),
         ("amount_negative", F.col("amount") < 0),
         ("balance_negative", F.greatest(*[F.col(b) < 0 for b in BALANCE_COLS])),
+        ("amount_out_of_range", F.abs("amount") >= MONEY_LIMIT),
+        ("balance_out_of_range", F.greatest(*[F.abs(b) >= MONEY_LIMIT for b in BALANCE_COLS])),
         ("sender_null", F.col("name_orig").isNull()),
         ("recipient_null", F.col("name_dest").isNull()),
         ("label_null", F.col("is_fraud").isNull() | F.col("is_flagged_fraud").isNull()),
     ]
+    if MALFORMED in staging.columns:
+        checks.append(("malformed", F.col(MALFORMED).isNotNull()))
     if types is not None:
         checks.append(("unknown_type", F.col("_known").isNull()
                        & normalize_type("type").isNotNull()))
@@ -156,9 +164,9 @@ def validate_constraints(staging: DataFrame, types: DataFrame | None = None
                                                 F.lit(True).alias("_known")))
         df = df.join(known, normalize_type("type") == F.col("_tn"), "left")
     df = df.withColumn("reasons", _reason_array(staging, types))
-    cols = staging.columns
+    cols = [c for c in staging.columns if c != MALFORMED]
     valid = df.where(F.size("reasons") == 0).select(*cols)
-    quarantined = df.where(F.size("reasons") > 0).select(*cols, "reasons")
+    quarantined = df.where(F.size("reasons") > 0).select(*staging.columns, "reasons")
     return valid, quarantined
 
 

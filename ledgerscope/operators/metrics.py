@@ -60,20 +60,30 @@ def average_precision(scored: DataFrame, score: str = "score",
 
 
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score."""
+    """(threshold, fpr, tpr) at every distinct score, and the start point
+    (0, 0), whose threshold is above all scores and given as null."""
     cum = _cumulative(score_counts(scored, score, label))
-    return cum.select(F.col("score").alias("threshold"),
-                      safe_div("fp", "N").alias("fpr"),
-                      safe_div("tp", "P").alias("tpr")).orderBy(F.desc("threshold"))
+    curve = cum.select(F.col("score").alias("threshold"),
+                       safe_div("fp", "N").alias("fpr"),
+                       safe_div("tp", "P").alias("tpr"))
+    return curve.unionByName(_end_point(curve, fpr=0.0, tpr=0.0)).orderBy(F.desc_nulls_first("threshold"))
+
+
+def _end_point(curve: DataFrame, **values: float) -> DataFrame:
+    types = dict(curve.dtypes)
+    return curve.sparkSession.range(1).select(
+        F.lit(None).cast(types["threshold"]).alias("threshold"),
+        *[F.lit(v).cast(types[k]).alias(k) for k, v in values.items()])
 
 
 def pr_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(threshold, recall, precision) at every distinct score."""
+    """(threshold, recall, precision) at every distinct score, and the end
+    point (0, 1), whose threshold is above all scores and given as null."""
     cum = _cumulative(score_counts(scored, score, label))
-    return cum.select(F.col("score").alias("threshold"),
-                      safe_div("tp", "P").alias("recall"),
-                      safe_div("tp", F.col("tp") + F.col("fp")).alias("precision")
-                      ).orderBy(F.desc("threshold"))
+    curve = cum.select(F.col("score").alias("threshold"),
+                       safe_div("tp", "P").alias("recall"),
+                       safe_div("tp", F.col("tp") + F.col("fp")).alias("precision"))
+    return curve.unionByName(_end_point(curve, recall=0.0, precision=1.0)).orderBy(F.desc_nulls_first("threshold"))
 
 
 def _cells(pred: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -8,6 +8,7 @@ Column names match one for one.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Callable
@@ -71,22 +72,22 @@ SELECT step, type, amount, name_orig, old_balance_orig, new_balance_orig, name_d
 FROM staging""")
 def _csv_load(spark, sf_dir):
     """Staging written as the raw CSV file, read back by the CSV source."""
-    path = layer_path(spark, sf_dir, "clean", "raw_csv")
+    path = layer_path(spark, sf_dir, "clean", f"raw_csv-{uuid.uuid4().hex}")
     write_csv(fixture_layers(spark, sf_dir).staging, path)
     return csv_load(spark, path)
 
 
 @register("sample_exact", "S2", sql=f"""
 SELECT * FROM staging ORDER BY {portable_hash_sql('transaction_id')}, transaction_id
-LIMIT 100000""")
+LIMIT 2000""")
 def _sample_exact(L: Layers):
-    return ml_plans.sample_exact(L.staging, 100_000, key="transaction_id", seed=42)
+    return ml_plans.sample_exact(L.staging, 2_000, key="transaction_id", seed=42)
 
 
 @register("refresh_features", "C11/S3/S4", raw=True, sql="SELECT * FROM ml_features", bench=False)
 def _refresh(spark, sf_dir):
     layers = fixture_layers(spark, sf_dir)
-    _, ml = refresh_features(layers, layer_path(spark, sf_dir, "clean", "refresh"))
+    _, ml = refresh_features(layers, layer_path(spark, sf_dir, "clean", f"refresh-{uuid.uuid4().hex}"))
     return ml
 
 
@@ -654,14 +655,16 @@ def _m13(L):
 
 @register("roc_curve", "M14", extra_ctes=_SCORED, sql="""
 SELECT score AS threshold, CAST(fp AS DOUBLE) / NULLIF("N", 0) AS fpr,
-       CAST(tp AS DOUBLE) / NULLIF("P", 0) AS tpr FROM cum ORDER BY threshold DESC""")
+       CAST(tp AS DOUBLE) / NULLIF("P", 0) AS tpr FROM cum
+UNION ALL SELECT NULL, 0.0, 0.0 ORDER BY threshold DESC NULLS FIRST""")
 def _m14(L):
     return metrics.roc_curve(_scored(L))
 
 
 @register("pr_curve", "M15", extra_ctes=_SCORED, sql="""
 SELECT score AS threshold, CAST(tp AS DOUBLE) / NULLIF("P", 0) AS recall,
-       CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) AS precision FROM cum ORDER BY threshold DESC""")
+       CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0) AS precision FROM cum
+UNION ALL SELECT NULL, 0.0, 1.0 ORDER BY threshold DESC NULLS FIRST""")
 def _m15(L):
     return metrics.pr_curve(_scored(L))
 

@@ -71,3 +71,6 @@ REQUEST_COLS = [
     "sender_txns_same_step", "sender_amount_zscore",
     "sender_total_txns", "sender_avg_amount", "sender_unique_recipients",
 ]
+
+# Raw text of a CSV line that does not fit the schema; null for lines that do.
+MALFORMED = "_malformed"

@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import CSV_COLUMNS, RAW_CSV
+from ..schemas import CSV_COLUMNS, MALFORMED, RAW_CSV
 
 DEFAULT_AS_OF = datetime(2024, 2, 1, 0, 0, 0)
 
@@ -18,13 +19,18 @@ def as_of_lit(as_of: datetime | None = None):
     return F.lit(ts).cast("timestamp_ntz")
 
 
-def csv_load(spark: SparkSession, path: str, as_of: datetime | None = None) -> DataFrame:
+def csv_load(spark: SparkSession, path: str, as_of: datetime | None = None,
+             mark_malformed: bool = False) -> DataFrame:
     """Read raw transaction CSV files (header row, eleven columns) with
-    a fixed schema (no inference pass) and stamp ``loaded_at``."""
+    a fixed schema (no inference pass) and stamp ``loaded_at``. With
+    ``mark_malformed``, lines with a bad field, too few or too many fields
+    keep their text in the column ``MALFORMED``, for C10 to quarantine."""
+    schema = StructType([*RAW_CSV.fields, StructField(MALFORMED, StringType())]) if mark_malformed else RAW_CSV
     df = (
-        spark.read.schema(RAW_CSV)
+        spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
