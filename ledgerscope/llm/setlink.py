@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import reliable_checkpoint
 
 SMALL = 256
-CHUNK = 1024
+CHUNK = 256
 
 LINKS = "a binary, b binary"
 
