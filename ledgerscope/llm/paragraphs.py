@@ -15,7 +15,11 @@ classes. Of a class the occurrence in the document with the least identifier sta
 A repeated paragraph alone proves little: a common line or a licence line is no copied
 passage. Repeated paragraphs are added up per (document, document they repeat, place
 relative to it); a passage is reported if they have ``MIN_WORDS`` words or more in
-common. As a passage's two ends are cut differently, that finds passages of 50 words.
+common. Its two ends are cut differently, so it is longer than what is found of it.
+
+Exact copies don't depend on paragraphs: every run of ``COPY_WORDS`` words that a
+document of a lower identifier has is found by itself, to its first and last word and
+across lines (``_copied_runs``). Paragraphs inside such runs are not reported again.
 
 Defined results: null, empty and one-line texts without repeats are left alone, and so
 are rows without identifier and repeats within one document; repeated rows with the
@@ -31,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import setlink
@@ -49,6 +53,8 @@ BANDS, ROWS = 3, 1
 MIN_WORDS = 24
 #: Words between two repeated paragraphs of a passage that go with them.
 BRIDGE_WORDS = 8
+#: Words of the windows that find exact copies, and of the grams that stand for them.
+COPY_WORDS, ANCHOR = 50, 16
 
 UNITS = "doc_id long, at long, words int, start long, length long, sid long, key long"
 _SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0x24093822299F31D0)]
@@ -84,14 +90,15 @@ class Units:
         real = size > 0
         index, line, text, size, place = index[real], line[real], text[real], size[real], place[real]
         self.words = hashes[index]
+        self.place, self.size = place, size
         n = len(index)
         last = np.append(line[1:] != line[:-1], True) if n else np.zeros(0, bool)
         stop = np.flatnonzero(last | ending[index])
         self.first = np.concatenate(([0], stop[:-1] + 1)).astype(np.int64) if n else np.zeros(0, np.int64)
         self.count = stop - self.first + 1
         self.text = text[self.first]
-        word_base = np.searchsorted(text, np.arange(len(per_text)))
-        self.at = self.first - word_base[self.text] if n else self.first
+        self.base = np.searchsorted(text, np.arange(len(per_text) + 1))
+        self.at = self.first - self.base[self.text] if n else self.first
         self.start = place[self.first]
         self.length = place[stop] + size[stop] - self.start
         within = np.arange(n) - np.repeat(self.first, self.count)
@@ -117,6 +124,105 @@ class Units:
                       for k, seed in enumerate(_SEEDS)]
 
 
+class Windows:
+    """All windows of ``COPY_WORDS`` words of some texts: text, first word (of all),
+    hash, and anchor, the least gram hash in the window. Equal windows have equal anchors."""
+
+    def __init__(self, texts: pa.Array):
+        self.units = units = Units(texts)
+        starts = [np.arange(a, b - COPY_WORDS + 1) for a, b in zip(units.base[:-1].tolist(), units.base[1:].tolist())]
+        self.first = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+        self.text = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
+        if not len(self.first):
+            self.hash = self.anchor = np.zeros(0, np.int64)
+            return
+        # a window is 32 words and 32 words, a gram is 16: by doubling, order counts
+        runs, width = mix(units.words), 1
+        while width < 32:
+            runs = mix(runs[:-width] * np.uint64(0x9E3779B97F4A7C15) + (runs[width:] ^ _SEEDS[0]))
+            width *= 2
+            if width == ANCHOR:
+                least = mix(runs ^ _SEEDS[1])
+        self.hash = mix(runs[self.first] * np.uint64(0xC2B2AE3D27D4EB4F)
+                        + (runs[self.first + COPY_WORDS - 32] ^ _SEEDS[2])).view(np.int64)
+        reach, span = COPY_WORDS - ANCHOR + 1, 1
+        while 2 * span <= reach:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        self.anchor = np.minimum(least[self.first], least[self.first + reach - span]).view(np.int64)
+
+
+def _anchors(docs: DataFrame) -> DataFrame:
+    """(anchor, doc_id): the distinct anchors of each text's windows."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                windows = Windows(part.column(1))
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                change = np.ones(len(windows.first), bool)
+                change[1:] = (windows.anchor[1:] != windows.anchor[:-1]) | (windows.text[1:] != windows.text[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(windows.anchor[change]),
+                                                  pa.array(ids[windows.text[change]], pa.int64())], ["anchor", "doc_id"])
+
+    return docs.mapInArrow(run, "anchor long, doc_id long")
+
+
+WINDOWS = "hash long, anchor long, doc_id long, at int, start int, stop int"
+
+
+def _windows(docs: DataFrame) -> DataFrame:
+    """The windows with wanted anchors: documents (doc_id, text, wanted: [anchor])."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                windows = Windows(part.column(1))
+                units, wanted = windows.units, part.column(2)
+                bounds = np.searchsorted(windows.text, np.arange(part.num_rows + 1))
+                chosen = np.zeros(len(windows.first), bool)
+                for t, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                    chosen[a:b] = np.isin(windows.anchor[a:b], wanted[t].values.to_numpy())
+                first, text = windows.first[chosen], windows.text[chosen]
+                last = first + COPY_WORDS - 1
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(windows.hash[chosen]), pa.array(windows.anchor[chosen]), pa.array(ids[text], pa.int64()),
+                    pa.array(first - units.base[text], pa.int32()), pa.array(units.place[first], pa.int32()),
+                    pa.array(units.place[last] + units.size[last], pa.int32())], [f.split()[0] for f in WINDOWS.split(", ")])
+
+    return docs.select("doc_id", "text", "wanted").mapInArrow(run, WINDOWS)
+
+
+def _copied_runs(texts: DataFrame, base: str) -> DataFrame:
+    """Exact copies of ``COPY_WORDS`` words or more to their last word: each run of
+    windows that stand in a document of a lower identifier, and the least such
+    document of each window. Windows are compared whole, so it doesn't matter in
+    which other documents their parts occur; no pairs of documents are formed."""
+    spark = texts.sparkSession
+    _anchors(texts).write.option("compression", "zstd").parquet(f"{base}/anchors")
+    anchors = spark.read.parquet(f"{base}/anchors")
+    repeated = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                .filter("a < b").select("anchor"))
+    wanted = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
+    _windows(texts.join(wanted, "doc_id")).write.option("compression", "zstd").parquet(f"{base}/windows")
+    drop_table(spark, f"{base}/anchors")
+    release(spark)
+    windows = spark.read.parquet(f"{base}/windows")
+    classes = (windows.groupBy("hash", "anchor").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
+               .filter("first.doc_id < last").select("hash", "anchor", "first"))
+    found = (windows.join(classes, ["hash", "anchor"]).filter("first.doc_id < doc_id")
+             .select("doc_id", "at", "start", "stop", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.at").alias("keep_at"))
+             .dropDuplicates(["doc_id", "at"]))
+    place = F.row_number().over(Window.partitionBy("doc_id", "keep_doc_id").orderBy("at"))
+    runs = reliable_checkpoint(
+        found.withColumn("run", F.col("at") - place).groupBy("doc_id", "keep_doc_id", "run").agg(
+            F.min("at").cast("long").alias("at"), (F.max("at") - F.min("at") + COPY_WORDS).cast("int").alias("words"),
+            F.min("start").cast("long").alias("start"), (F.max("stop") - F.min("start")).cast("long").alias("length"),
+            F.min(F.struct("at", "keep_at")).getField("keep_at").cast("long").alias("keep_at")).drop("run"))
+    drop_table(spark, f"{base}/windows")
+    release(spark)
+    return runs
+
+
 def _units(docs: DataFrame) -> DataFrame:
     """The paragraphs; (sid, key) are the two halves of their 128-bit keys."""
     def run(batches):
@@ -182,6 +288,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
         "doc_id IS NOT NULL")
     base = scratch_path(spark, f"paragraphs-{uuid.uuid4().hex}")
+    runs = _copied_runs(texts, base)
     _units(texts).write.option("compression", "zstd").parquet(f"{base}/units")
     units = spark.read.parquet(f"{base}/units")
     (units.groupBy("sid", "key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"),
@@ -226,7 +333,12 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
     passages = (again.groupBy("doc_id", "keep_doc_id", "shift").agg(F.sum("words").alias("passage_words"))
                 .filter(F.col("passage_words") >= min_words))
-    return again.join(passages, ["doc_id", "keep_doc_id", "shift"])
+    near = again.join(passages, ["doc_id", "keep_doc_id", "shift"])
+    spans = runs.groupBy("doc_id").agg(F.collect_list(F.struct("at", (F.col("at") + F.col("words")).alias("end"))).alias("runs"))
+    near = (near.join(spans, "doc_id", "left")
+            .filter("NOT coalesce(exists(runs, r -> r.at <= at AND at + words <= r.end), false)").drop("runs"))
+    return near.unionByName(runs.withColumn("shift", F.col("at") - F.col("keep_at"))
+                            .withColumn("passage_words", F.col("words").cast("long")))
 
 
 def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
