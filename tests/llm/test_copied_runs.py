@@ -39,6 +39,24 @@ def test_passage_of_lines_first_seen_elsewhere(docs_of):
     assert covered(rows)[20] == set(range(90, 170))
 
 
+def test_short_copies_at_random_places(docs_of):
+    rnd = random.Random(2)
+    docs = []
+    for p in range(200):
+        n = rnd.randint(50, 60)
+        copy = prose(rnd, n, f"p{p}x")
+        for i in (2 * p, 2 * p + 1):
+            words = prose(rnd, 150, f"d{i}x").split(" ")
+            at = rnd.randrange(len(words))
+            docs.append((i, " ".join(words[:at] + [copy] + words[at:])))
+    rows = paragraphs.repeated_units(docs_of(docs)).collect()
+    found, wanted = covered(rows), brute_cover(docs)
+    assert set(found) == set(wanted) == {i for i, _ in docs if i % 2}
+    # a near-equal paragraph over the copy's end may add some words of its own
+    assert all(found[i] >= w and len(found[i] - w) <= 8 for i, w in wanted.items())
+    assert sum(found[i] == w for i, w in wanted.items()) >= 190
+
+
 def test_overlapping_copies_against_brute_force(docs_of):
     rnd = random.Random(4)
     source = [f"s{k}" for k in range(2000)]
