@@ -57,6 +57,15 @@ def test_short_copies_at_random_places(docs_of):
     assert sum(found[i] == w for i, w in wanted.items()) >= 190
 
 
+def test_copies_of_very_short_lines(docs_of):
+    rnd = random.Random(3)
+    for per_line in (1, 2, 3):
+        words = [f"v{rnd.randrange(10 ** 7)}" for _ in range(200)]
+        verse = "\n".join(" ".join(words[k:k + per_line]) for k in range(0, 200, per_line))
+        docs = [(i, prose(rnd, 60, f"a{i}x") + "\n" + verse + "\n" + prose(rnd, 60, f"b{i}x")) for i in (1, 2)]
+        assert covered(paragraphs.repeated_units(docs_of(docs)).collect()) == {2: set(range(60, 260))}
+
+
 def test_overlapping_copies_against_brute_force(docs_of):
     rnd = random.Random(4)
     source = [f"s{k}" for k in range(2000)]
