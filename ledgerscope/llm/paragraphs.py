@@ -56,7 +56,7 @@ BRIDGE_WORDS = 8
 #: Words of the windows that find exact copies, and of the grams that stand for them.
 COPY_WORDS, ANCHOR = 50, 16
 
-UNITS = "doc_id long, at long, words int, start long, length long, sid long, key long"
+UNITS = "doc_id long, at long, words int, start long, length long, sid long, key long, grams int"
 _SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0x24093822299F31D0)]
 
 
@@ -111,16 +111,35 @@ class Units:
         a = self.first[unit]
         return np.unique(gram_hashes(self.words[a:a + self.count[unit]], GRAM))
 
-    def signatures(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Paragraphs long enough for bands, and the bands' values."""
+    def long_grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Paragraphs long enough for bands, their grams, and where each one's grams end."""
         long = np.flatnonzero(self.count >= BANDED_WORDS)
         if not len(long):
-            return long, [np.zeros(0, np.int64)] * BANDS
+            return long, np.zeros(0, np.uint64), long
         every = gram_hashes(self.words, GRAM)
         runs = self.count[long] - GRAM + 1
         ends = np.cumsum(runs)
-        grams = every[np.repeat(self.first[long] - (ends - runs), runs) + np.arange(ends[-1])]
-        return long, [np.minimum.reduceat(mix(grams ^ seed), ends - runs).view(np.int64) * BANDS + k
+        return long, every[np.repeat(self.first[long] - (ends - runs), runs) + np.arange(ends[-1])], ends
+
+    def distinct(self) -> np.ndarray:
+        """How many distinct grams a paragraph has; exact for those that get bands."""
+        counts = np.maximum(self.count - GRAM + 1, 1)
+        long, grams, ends = self.long_grams()
+        if len(long):
+            owner = np.repeat(np.arange(len(long)), np.diff(ends, prepend=0))
+            order = np.lexsort((grams, owner))
+            grams = grams[order]
+            again = (grams[1:] == grams[:-1]) & (owner[1:] == owner[:-1])
+            counts[long] -= np.bincount(owner[1:][again], minlength=len(long))
+        return counts
+
+    def signatures(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Paragraphs long enough for bands, and the bands' values."""
+        long, grams, ends = self.long_grams()
+        if not len(long):
+            return long, [np.zeros(0, np.int64)] * BANDS
+        starts = np.append(0, ends[:-1])
+        return long, [np.minimum.reduceat(mix(grams ^ seed), starts).view(np.int64) * BANDS + k
                       for k, seed in enumerate(_SEEDS)]
 
 
@@ -235,7 +254,8 @@ def _units(docs: DataFrame) -> DataFrame:
                     pa.array(ids[units.text[chosen]], pa.int64()), pa.array(units.at[chosen], pa.int64()),
                     pa.array(units.count[chosen], pa.int32()), pa.array(units.start[chosen], pa.int64()),
                     pa.array(units.length[chosen], pa.int64()), pa.array(units.keys[chosen, 0].view("<i8")),
-                    pa.array(units.keys[chosen, 1].view("<i8"))], [f.split()[0] for f in UNITS.split(", ")])
+                    pa.array(units.keys[chosen, 1].view("<i8")), pa.array(units.distinct()[chosen], pa.int32())],
+                    [f.split()[0] for f in UNITS.split(", ")])
 
     return docs.mapInArrow(run, UNITS)
 
@@ -292,7 +312,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     _units(texts).write.option("compression", "zstd").parquet(f"{base}/units")
     units = spark.read.parquet(f"{base}/units")
     (units.groupBy("sid", "key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"),
-                                     F.min("words").alias("words"))
+                                     F.min("grams").alias("grams"))
      .write.option("compression", "zstd").parquet(f"{base}/classes"))
     release(spark)
     classes = spark.read.parquet(f"{base}/classes")
@@ -301,7 +321,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = reliable_checkpoint(setlink.worth_joining(
         reliable_checkpoint(setlink.blocks_of(
             reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/bands"))))),
-        classes.select("sid", (F.col("words") - GRAM + 1).alias("n")), FACTOR))
+        classes.select("sid", F.col("grams").alias("n")), FACTOR))
     drop_table(spark, f"{base}/bands")
     release(spark)
     in_large = members.groupBy("sid").agg((F.max("m") > setlink.SMALL).cast("int").alias("large"))
