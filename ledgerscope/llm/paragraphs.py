@@ -51,7 +51,7 @@ LEAST_WORDS = 4
 BANDED_WORDS = 8
 BANDS, ROWS = 3, 1
 MIN_WORDS = 24
-#: Words between two repeated paragraphs of a passage that go with them.
+#: Most words between two parts of one passage that can go with them.
 BRIDGE_WORDS = 8
 #: Words of the windows that find exact copies, and of the grams that stand for them.
 COPY_WORDS, ANCHOR = 50, 16
@@ -302,7 +302,8 @@ def _sets(docs: DataFrame) -> DataFrame:
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """The paragraphs of copied passages: doc_id, at, words, start, length,
-    keep_doc_id, keep_at, and passage_words (all that the passage has in common)."""
+    keep_doc_id, keep_at, and passage_words (all that the passage has in common);
+    with copy_at, an exact copy to its first and last word."""
     spark = docs.sparkSession
     parts = parts_for(spark, text_bytes(docs, text_col))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
@@ -357,14 +358,38 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = runs.groupBy("doc_id").agg(F.collect_list(F.struct("at", (F.col("at") + F.col("words")).alias("end"))).alias("runs"))
     near = (near.join(spans, "doc_id", "left")
             .filter("NOT coalesce(exists(runs, r -> r.at <= at AND at + words <= r.end), false)").drop("runs"))
-    return near.unionByName(runs.withColumn("shift", F.col("at") - F.col("keep_at"))
-                            .withColumn("passage_words", F.col("words").cast("long")))
+    return near.withColumn("copy_at", F.lit(None).cast("long")).unionByName(
+        runs.withColumn("shift", F.col("at") - F.col("keep_at"))
+        .withColumn("passage_words", F.col("words").cast("long")).withColumn("copy_at", F.col("at")))
+
+
+def whole_spans(spans: list) -> list[tuple[int, int]]:
+    """First and end character of what goes from one text. Parts of one passage (same
+    keeper, same shift) that touch are one block; the words between two blocks go too
+    if the blocks with these words are similar at 0.8 to the same place in the keeper,
+    even if none of the words between is."""
+    out, blocks = [], []
+    for s in sorted(spans, key=lambda s: (s["keep_doc_id"], s["shift"], s["at"])):
+        passage, at, end = (s["keep_doc_id"], s["shift"]), s["at"], s["at"] + s["words"]
+        if blocks and blocks[-1][0] == passage and at <= blocks[-1][2]:
+            if end > blocks[-1][2]:
+                blocks[-1][2], blocks[-1][4] = end, s["start"] + s["length"]
+        else:
+            blocks.append([passage, at, end, s["start"], s["start"] + s["length"]])
+    for k, (passage, at, end, first, stop) in enumerate(blocks):
+        out.append((first, stop))
+        if k and blocks[k - 1][0] == passage and at - blocks[k - 1][2] <= BRIDGE_WORDS:
+            before = blocks[k - 1]
+            common = max(0, before[2] - before[1] - GRAM + 1) + max(0, end - at - GRAM + 1)
+            if FACTOR * 2 * (end - before[1] - GRAM + 1 - common) <= 2 * (end - before[1] - GRAM + 1):
+                out.append((before[4], first))
+    return out
 
 
 def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without their copied passages, all columns as they were."""
     spans = (repeated_units(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_spans_of"))
-             .agg(F.sort_array(F.collect_list(F.struct("at", "words", "start", "length"))).alias("_spans")))
+             .agg(F.collect_list(F.struct("keep_doc_id", "shift", "at", "words", "start", "length")).alias("_spans")))
     names = docs.columns
     column = names.index(text_col)
     id_long = docs[id_col].cast("long")
@@ -372,13 +397,10 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         *[docs[c] for c in names], F.col("_spans"))
 
     def without(text, spans):
-        out, done, end_word = [], 0, None
-        for s in spans:
-            start = s["start"]
-            if end_word is None or s["at"] - end_word > BRIDGE_WORDS:
-                out.append(text[done:start])
-            done = max(done, start + s["length"])
-            end_word = s["at"] + s["words"]
+        out, done = [], 0
+        for start, end in sorted(whole_spans(spans)):
+            out.append(text[done:start])
+            done = max(done, end)
         return "".join(out) + text[done:]
 
     def run(batches):
@@ -398,7 +420,7 @@ def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """One row per copied passage: the document it is to be removed from, where,
     and the document that keeps it."""
     units = repeated_units(read_table(spark, sf_dir, "documents"))
-    return units.groupBy("doc_id", "keep_doc_id", "shift").agg(
+    return units.groupBy("doc_id", "keep_doc_id", "shift", "copy_at").agg(
         F.min("at").alias("first_word"), F.max(F.col("at") + F.col("words")).alias("end_word"),
         F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"),
-        F.max("passage_words").alias("repeated_words"), F.count("*").alias("paragraphs")).drop("shift")
+        F.max("passage_words").alias("repeated_words"), F.count("*").alias("paragraphs")).drop("shift", "copy_at")
