@@ -53,6 +53,8 @@ BANDS, ROWS = 3, 1
 MIN_WORDS = 24
 #: Most words between two parts of one passage that can go with them.
 BRIDGE_WORDS = 8
+#: Words inserted or deleted between two parts of a near copy, and words between them, at most.
+SHIFT_WORDS, GAP_WORDS = 8, 50
 #: Words of the windows that find exact copies, and of the grams that stand for them.
 COPY_WORDS, ANCHOR = 50, 16
 
@@ -352,9 +354,16 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     again = reliable_checkpoint(again)
     drop_table(spark, base)
     release(spark)
-    passages = (again.groupBy("doc_id", "keep_doc_id", "shift").agg(F.sum("words").alias("passage_words"))
-                .filter(F.col("passage_words") >= min_words))
-    near = again.join(passages, ["doc_id", "keep_doc_id", "shift"])
+    # Words add up over one shift, and over neighbours whose shifts differ by a few words.
+    in_order = Window.partitionBy("doc_id", "keep_doc_id").orderBy("at")
+    breaks = ((F.abs(F.col("shift") - F.lag("shift").over(in_order)) > SHIFT_WORDS)
+              | (F.col("at") - F.lag(F.col("at") + F.col("words")).over(in_order) > GAP_WORDS))
+    near = (again.withColumn("breaks", F.coalesce(breaks.cast("int"), F.lit(0)))
+            .withColumn("chain", F.sum("breaks").over(in_order))
+            .withColumn("passage_words", F.greatest(
+                F.sum("words").over(Window.partitionBy("doc_id", "keep_doc_id", "shift")),
+                F.sum("words").over(Window.partitionBy("doc_id", "keep_doc_id", "chain"))))
+            .filter(F.col("passage_words") >= min_words).drop("breaks", "chain"))
     spans = runs.groupBy("doc_id").agg(F.collect_list(F.struct("at", (F.col("at") + F.col("words")).alias("end"))).alias("runs"))
     near = (near.join(spans, "doc_id", "left")
             .filter("NOT coalesce(exists(runs, r -> r.at <= at AND at + words <= r.end), false)").drop("runs"))
