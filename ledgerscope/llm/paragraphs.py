@@ -57,6 +57,8 @@ BRIDGE_WORDS = 8
 SHIFT_WORDS, GAP_WORDS = 8, 50
 #: Words of the windows that find exact copies, and of the grams that stand for them.
 COPY_WORDS, ANCHOR = 50, 16
+#: Windows of larger tables are joined in so many rounds, to bound the disk of one exchange.
+ROUNDS, ROUNDS_FROM = 4, 64 << 20
 
 UNITS = "doc_id long, at long, words int, start long, length long, sid long, key long, grams int"
 _SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0x24093822299F31D0)]
@@ -188,6 +190,7 @@ def _anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, doc_id long")
 
 
+COPIES = "doc_id long, at int, start int, stop int, keep_doc_id long, keep_at int"
 WINDOWS = "hash long, anchor long, doc_id long, at int, start int, stop int"
 
 
@@ -213,7 +216,7 @@ def _windows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "wanted").mapInArrow(run, WINDOWS)
 
 
-def _copied_runs(texts: DataFrame, base: str) -> DataFrame:
+def _copied_runs(texts: DataFrame, base: str, rounds: int = 1) -> DataFrame:
     """Exact copies of ``COPY_WORDS`` words or more to their last word: each run of
     windows that stand in a document of a lower identifier, and the least such
     document of each window. Windows are compared whole, so it doesn't matter in
@@ -224,15 +227,24 @@ def _copied_runs(texts: DataFrame, base: str) -> DataFrame:
     repeated = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                 .filter("a < b").select("anchor"))
     wanted = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
-    _windows(texts.join(wanted, "doc_id")).write.option("compression", "zstd").parquet(f"{base}/windows")
+    (_windows(texts.join(wanted, "doc_id")).withColumn("round", F.pmod(F.xxhash64("hash", "anchor"), F.lit(rounds)).cast("int"))
+     .write.partitionBy("round").option("compression", "zstd").parquet(f"{base}/windows"))
     drop_table(spark, f"{base}/anchors")
     release(spark)
-    windows = spark.read.parquet(f"{base}/windows")
-    classes = (windows.groupBy("hash", "anchor").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
-               .filter("first.doc_id < last").select("hash", "anchor", "first"))
-    found = (windows.join(classes, ["hash", "anchor"]).filter("first.doc_id < doc_id")
-             .select("doc_id", "at", "start", "stop", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.at").alias("keep_at"))
-             .dropDuplicates(["doc_id", "at"]))
+    for k in range(rounds):
+        windows = (spark.read.schema(f"{WINDOWS}, round int").parquet(f"{base}/windows").filter(F.col("round") == k))
+        (windows.groupBy("hash", "anchor").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
+         .filter("first.doc_id < last").select("hash", "anchor", "first")
+         .write.option("compression", "zstd").parquet(f"{base}/classes_{k}"))
+        release(spark)
+        (windows.join(spark.read.parquet(f"{base}/classes_{k}"), ["hash", "anchor"]).filter("first.doc_id < doc_id")
+         .select("doc_id", "at", "start", "stop", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.at").alias("keep_at"))
+         .write.mode("append").option("compression", "zstd").parquet(f"{base}/copies"))
+        drop_table(spark, f"{base}/classes_{k}")
+        drop_table(spark, f"{base}/windows/round={k}")
+        release(spark)
+    # one exchange by document serves the three steps
+    found = spark.read.schema(COPIES).parquet(f"{base}/copies").repartition("doc_id").dropDuplicates(["doc_id", "at"])
     place = F.row_number().over(Window.partitionBy("doc_id", "keep_doc_id").orderBy("at"))
     runs = reliable_checkpoint(
         found.withColumn("run", F.col("at") - place).groupBy("doc_id", "keep_doc_id", "run").agg(
@@ -240,6 +252,7 @@ def _copied_runs(texts: DataFrame, base: str) -> DataFrame:
             F.min("start").cast("long").alias("start"), (F.max("stop") - F.min("start")).cast("long").alias("length"),
             F.min(F.struct("at", "keep_at")).getField("keep_at").cast("long").alias("keep_at")).drop("run"))
     drop_table(spark, f"{base}/windows")
+    drop_table(spark, f"{base}/copies")
     release(spark)
     return runs
 
@@ -307,11 +320,12 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keep_doc_id, keep_at, and passage_words (all that the passage has in common);
     with copy_at, an exact copy to its first and last word."""
     spark = docs.sparkSession
-    parts = parts_for(spark, text_bytes(docs, text_col))
+    size = text_bytes(docs, text_col)
+    parts = parts_for(spark, size)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
         "doc_id IS NOT NULL")
     base = scratch_path(spark, f"paragraphs-{uuid.uuid4().hex}")
-    runs = _copied_runs(texts, base)
+    runs = _copied_runs(texts, base, ROUNDS if size > ROUNDS_FROM else 1)
     _units(texts).write.option("compression", "zstd").parquet(f"{base}/units")
     units = spark.read.parquet(f"{base}/units")
     (units.groupBy("sid", "key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"),
