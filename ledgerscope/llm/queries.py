@@ -13,6 +13,7 @@ from .prefix_counts import op12_token_counts
 from .rans import op10_token_files
 from .rules import op8_quality_rules
 from .sharding import op1_sharding
+from .whitening import op13_embedding_whitening
 
 QUERIES = {
     "op1_sharding": op1_sharding,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_token_files": op10_token_files,
     "op12_token_counts": op12_token_counts,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLES = {"op5_ngram_join": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL}
