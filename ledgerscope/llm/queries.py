@@ -9,6 +9,7 @@ from .fm import op4_quality_classifier
 from .ngram_join import OP5_SQL, op5_ngram_join
 from .packing import op2_packing
 from .paragraphs import op3_substring_dedup
+from .phrases import OP11_SQL, op11_phrase_mining
 from .prefix_counts import op12_token_counts
 from .rans import op10_token_files
 from .rules import op8_quality_rules
@@ -26,8 +27,10 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_token_files": op10_token_files,
+    "op11_phrase_mining": op11_phrase_mining,
     "op12_token_counts": op12_token_counts,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
-ORACLES = {"op5_ngram_join": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL}
+ORACLES = {"op5_ngram_join": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL,
+           "op11_phrase_mining": OP11_SQL}
