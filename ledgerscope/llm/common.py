@@ -6,6 +6,7 @@ import gc
 import math
 import sys
 import types
+import uuid
 
 import ledgerscope
 from pyspark import cloudpickle
@@ -64,6 +65,48 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+class Rows:
+    """Rows of documents told apart by identifier and text, for operators that remove or
+    cut rows. Usually an identifier has one text and stands for its row itself. Where any
+    identifier has several texts, every distinct (identifier, text) gets a number in that
+    order (of equal identifiers by a hash of the text), and ``docs`` is a written table
+    with it. Rows with identifier and text alike are one document; null ids stay null.
+
+    ``docs``: the input's columns and ``key``; ``names``: (key, doc_id) if they differ.
+    """
+
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+        from ..functions.keys import dense_surrogate_key
+
+        spark = docs.sparkSession
+        self.columns, self.key, self.path = docs.columns, "_row_" + "_".join(docs.columns), None
+        own, digest = F.col(f"`{id_col}`").cast("long"), F.xxhash64(text_or_empty(F.col(f"`{text_col}`")))
+        pairs = docs.select(own.alias("doc_id"), digest.alias("h")).filter("doc_id IS NOT NULL")
+        shared = pairs.groupBy("doc_id").agg((F.min("h") < F.max("h")).alias("s")).filter("s")
+        if shared.isEmpty():
+            self.names, self.docs = None, docs.withColumn(self.key, own)
+            return
+        self.names = dense_surrogate_key(pairs.distinct(), ["doc_id", "h"], self.key, 0)
+        self.path = scratch_path(spark, f"rows-{uuid.uuid4().hex}")
+        numbers = self.names.select(F.col("doc_id").alias("_i" + self.key), F.col("h").alias("_h" + self.key), self.key)
+        (docs.join(numbers, (own == F.col("_i" + self.key)) & (digest == F.col("_h" + self.key)), "left")
+         .select(*[F.col(f"`{c}`") for c in self.columns], self.key).write.parquet(self.path))
+        self.docs = spark.read.parquet(self.path)
+
+    def only(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with the input's columns."""
+        return docs.select(*[F.col(f"`{c}`") for c in self.columns])
+
+    def doc_ids(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """``rows`` with row numbers in ``columns`` replaced by their identifiers."""
+        if self.names is None:
+            return rows
+        for c in columns:
+            ids = self.names.select(F.col(self.key).alias("_n_" + c), F.col("doc_id").alias("_d_" + c))
+            rows = rows.join(ids, F.col(c) == F.col("_n_" + c)).withColumn(c, F.col("_d_" + c)).drop("_n_" + c, "_d_" + c)
+        return rows
+
+
 def worker_cache(key, make):
     """``make()`` once per Python worker process and key. Executors that are
     lost only lose the cache; the next task builds it again."""

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import setlink
-from .common import (drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
+from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
                      text_bytes)
 from .shingles import WordRanks, gram_hashes, gram_sets, rarest_first, slices, word_hashes
 
@@ -176,12 +176,15 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
 def keep_one_of_each(docs: DataFrame, size: int = 5, factor: int = 9, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component of documents that are similar at
-    0.8 (``factor`` 9) in their word 5-grams: the one with the least identifier. Rows
-    without identifier and documents without words stay."""
-    mark = "_c_" + "_".join(docs.columns)
-    component = similar_documents(docs, size, factor, id_col, text_col)
-    gone = component.filter("doc_id <> component_id AND n_shingles > 0").select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone[mark], "left_anti")
+    0.8 (``factor`` 9) in their word 5-grams: the one with the least identifier, of
+    equal identifiers the one whose text has the least hash. Documents are rows told
+    apart by identifier and text (:class:`Rows`), so texts that share an identifier are
+    judged one by one. Rows without identifier and documents without words stay."""
+    rows = Rows(docs, id_col, text_col)
+    gone_key = "_gone" + rows.key
+    gone = (similar_documents(rows.docs, size, factor, rows.key, text_col)
+            .filter("doc_id <> component_id AND n_shingles > 0").select(F.col("doc_id").alias(gone_key)).distinct())
+    return rows.only(rows.docs.join(gone, F.col(rows.key) == F.col(gone_key), "left_anti"))
 
 
 def op5_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -22,8 +22,9 @@ document of a lower identifier has is found by itself, to its first and last wor
 across lines (``_copied_runs``). Paragraphs inside such runs are not reported again.
 
 Defined results: null, empty and one-line texts without repeats are left alone, and so
-are rows without identifier and repeats within one document; repeated rows with the
-same identifier are one document; an empty table gives no rows. ``drop_passages`` keeps
+are rows without identifier and repeats within one document; repeated rows with
+identifier and text alike are one document, an identifier's other texts are documents
+of their own (of equal identifiers, the least hash of a text keeps a passage); an empty table gives no rows. ``drop_passages`` keeps
 all columns and leaves out documents of which only white space remains.
 """
 
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import setlink
-from .common import (drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
+from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
                      text_bytes)
 from .shingles import SPACES, gram_hashes, mix, slices
 
@@ -316,7 +317,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_words: int = MIN_WORDS) -> DataFrame:
-    """The paragraphs of copied passages: doc_id, at, words, start, length,
+    """The paragraphs of copied passages, of texts that have identifiers of their own: doc_id, at, words, start, length,
     keep_doc_id, keep_at, and passage_words (all that the passage has in common);
     with copy_at, an exact copy to its first and last word."""
     spark = docs.sparkSession
@@ -410,14 +411,17 @@ def whole_spans(spans: list) -> list[tuple[int, int]]:
 
 
 def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without their copied passages, all columns as they were."""
-    spans = (repeated_units(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_spans_of"))
-             .agg(F.collect_list(F.struct("keep_doc_id", "shift", "at", "words", "start", "length")).alias("_spans")))
+    """``docs`` without their copied passages, all columns as they were. Documents are
+    rows told apart by identifier and text, so what is cut from one text never touches
+    another one with the same identifier."""
+    source = Rows(docs, id_col, text_col)
+    held, key = "_spans" + source.key, "_of" + source.key
+    spans = (repeated_units(source.docs, source.key, text_col).groupBy(F.col("doc_id").alias(key))
+             .agg(F.collect_list(F.struct("keep_doc_id", "shift", "at", "words", "start", "length")).alias(held)))
     names = docs.columns
     column = names.index(text_col)
-    id_long = docs[id_col].cast("long")
-    rows = docs.join(spans, id_long == spans["_spans_of"], "left").select(
-        *[docs[c] for c in names], F.col("_spans"))
+    rows = source.docs.join(spans, F.col(source.key) == F.col(key), "left").select(
+        *[F.col(f"`{c}`") for c in names], F.col(held))
 
     def without(text, spans):
         out, done = [], 0
@@ -442,8 +446,10 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """One row per copied passage: the document it is to be removed from, where,
     and the document that keeps it."""
-    units = repeated_units(read_table(spark, sf_dir, "documents"))
-    return units.groupBy("doc_id", "keep_doc_id", "shift", "copy_at").agg(
+    rows = Rows(read_table(spark, sf_dir, "documents"))
+    units = repeated_units(rows.docs, rows.key)
+    passages = units.groupBy("doc_id", "keep_doc_id", "shift", "copy_at").agg(
         F.min("at").alias("first_word"), F.max(F.col("at") + F.col("words")).alias("end_word"),
         F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"),
         F.max("passage_words").alias("repeated_words"), F.count("*").alias("paragraphs")).drop("shift", "copy_at")
+    return rows.doc_ids(passages, ["doc_id", "keep_doc_id"])

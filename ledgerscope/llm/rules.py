@@ -21,17 +21,18 @@ position into one sorted array of longs; candidates are then compared as words.
 Defined results: null text is empty; an empty text has no words, fails the base
 rule and gets posterior 0; repeated rows get the same verdict each; an empty table
 gives no rows. All input columns can be kept (``label_quality``); the operator's
-own columns replace input columns of the same name only in ``judge_documents``.
+own column replaces an input column of the same name only in ``judge_documents``.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, reliable_checkpoint, text_or_empty
+from .common import read_table, reliable_checkpoint, scratch_path, text_or_empty
 
 SPACES = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -177,22 +178,29 @@ def posterior(votes, good: float, trust) -> float:
     return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
 
-def judge_documents(docs: DataFrame, text_col: str = "text", payload: list[str] | None = None) -> DataFrame:
-    """``payload`` columns and a struct ``judged``: n_words, word_chars,
-    n_symbols, n_dup_lines, n_repeat_words, base_failed, votes, posterior, kept."""
+def judge_documents(docs: DataFrame, text_col: str = "text", payload: list[str] | None = None,
+                    name: str = "judged") -> DataFrame:
+    """``payload`` columns and a struct ``name``: n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, base_failed, votes, posterior, kept. An input column
+    called ``name`` gives way to it. Texts are measured once: the rows are stored with
+    their counts before the patterns are read and again when the verdicts come back."""
     spark = docs.sparkSession
-    payload = docs.columns if payload is None else payload
-    mark = "_m_" + "_".join(payload)
+    payload = [c for c in (docs.columns if payload is None else payload) if c != name]
+    mark = "_m_" + "_".join(docs.columns)  # no input column can have this name
     rows = docs.select(*[F.col(f"`{c}`") for c in payload],
-                       measured(text_or_empty(text_col)).alias(mark))
+                       measured(text_or_empty(F.col(f"`{text_col}`"))).alias(mark))
     m = F.col(mark)
     n, rep = m["w"]["n"], m["w"]["rep"]
     failed = (n < MIN_WORDS) | (rep * 100 > n * MAX_REPEAT_PERCENT)
     votes = rule_votes(m)
     code = F.lit(0)
-    for name in RULES:
-        code = code * 3 + votes[name]
-    if text_col not in payload:  # narrow rows: one pass over the texts serves both readers
+    for rule in RULES:
+        code = code * 3 + votes[rule]
+    if text_col in payload:  # columns, so that the counts are read without the texts
+        path = scratch_path(spark, f"measured-{uuid.uuid4().hex}")
+        rows.write.parquet(path)
+        rows = spark.read.parquet(path)
+    else:
         rows = reliable_checkpoint(rows)
     patterns = {}
     for r in rows.groupBy(code.alias("c")).count().collect():  # at most 3^9 rows
@@ -204,20 +212,22 @@ def judge_documents(docs: DataFrame, text_col: str = "text", payload: list[str]
     good, trust = estimate(patterns)
     table = [(sum(v * 3 ** (len(RULES) - 1 - j) for j, v in enumerate(p)), posterior(p, good, trust))
              for p in patterns]
-    seen = spark.createDataFrame(table or [(-1, 0.0)], "_code int, _posterior double")
-    joined = rows.withColumn("_code_" + mark, code).join(
-        F.broadcast(seen), F.col("_code_" + mark) == F.col("_code"), "left")
-    post = F.when(n == 0, F.lit(0.0)).otherwise(F.coalesce("_posterior", F.lit(0.0)))
+    seen = spark.createDataFrame(table or [(-1, 0.0)], "code int, posterior double").select(
+        F.col("code").alias("_seen" + mark), F.col("posterior").alias("_posterior" + mark))
+    joined = rows.withColumn("_code" + mark, code).join(
+        F.broadcast(seen), F.col("_code" + mark) == F.col("_seen" + mark), "left")
+    post = F.when(n == 0, F.lit(0.0)).otherwise(F.coalesce("_posterior" + mark, F.lit(0.0)))
     return joined.select(*[F.col(f"`{c}`") for c in payload], F.struct(
         n.alias("n_words"), m["word_chars"].alias("word_chars"), m["n_symbols"].alias("n_symbols"),
         m["l"]["dup"].alias("n_dup_lines"), rep.alias("n_repeat_words"),
         failed.alias("base_failed"), F.struct(*[votes[x].alias(x) for x in RULES]).alias("votes"),
-        post.alias("posterior"), (~failed & (post >= KEEP_POSTERIOR)).alias("kept")).alias("judged"))
+        post.alias("posterior"), (~failed & (post >= KEEP_POSTERIOR)).alias("kept")).alias(name))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
-    return (judge_documents(docs, text_col).filter(F.col("judged")["kept"])
+    name = "_judged_" + "_".join(docs.columns)
+    return (judge_documents(docs, text_col, name=name).filter(F.col(name)["kept"])
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
