@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, read_table, release, reliable_checkpoint, scratch_path
+from .common import drop_table, read_table, release, reliable_checkpoint, scratch_path, text_bytes
 from .shingles import mix, slices
 
 MAX_WORDS = 4
@@ -50,7 +50,8 @@ ABSORBED = 80
 #: Bits of the bitmap of frequent hashes (16 MB), and rows of a stream's partition.
 FILTER_BITS = 27
 STREAM_ROWS = 400_000
-SLICE_BYTES = 8 << 20
+#: Bytes of text worked on at once, and those whose hashes one task adds up.
+SLICE_BYTES, COUNT_BYTES = 4 << 20, 4 << 20
 
 BREAK = r"[.,;:!?\x0A-\x0D]"
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -99,25 +100,48 @@ class Slice:
         return self.left[:max(0, len(self.code) - size + 1)] >= size
 
 
-def _hash_counts(texts: DataFrame) -> DataFrame:
-    """(hash, lang, times): per slice the phrases of one to three words by hash, and the
-    words of each language (without a hash)."""
-    def run(batches):
+def _runs(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Consecutive parts of an array as binary values, without copying."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * data.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _frequent_hashes(texts: DataFrame, min_count: int, total_bytes: int) -> DataFrame:
+    """(hash): of phrases of one to three words that occur ``min_count`` times or more.
+    Hashes travel in sorted runs, a run per slice and bucket of the hash, and each task
+    adds up the runs of its buckets. The number of tasks follows the data's size, and no
+    hash is in a run twice, so a task's memory doesn't depend on how often words occur."""
+    parts = max(1, math.ceil(total_bytes / COUNT_BYTES))
+    bits = min(40, math.ceil(math.log2(parts)) + 4)
+
+    def split(batches):
         for batch in batches:
             for part in slices(batch, slice_bytes=SLICE_BYTES):
                 own = Slice(part.column(0), part.column(1))
-                words = np.bincount(own.lang, minlength=len(own.langs))
+                found = np.concatenate([own.hashes(size)[own.inside(size)] for size in range(1, MAX_WORDS)])
+                found, times = np.unique(found, return_counts=True)
+                bucket = found >> np.uint64(63 - bits)
+                first = np.flatnonzero(np.diff(bucket, prepend=np.uint64(1 << 63)))
+                bounds = np.append(first, len(found))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(words), pa.int64()), own.langs.cast(pa.string()), pa.array(words, pa.int64())],
-                    ["hash", "lang", "times"])
-                for size in range(1, MAX_WORDS):
-                    found = own.hashes(size)[own.inside(size)]
-                    found, times = np.unique(found, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.view(np.int64)), pa.nulls(len(found), pa.string()), pa.array(times, pa.int64())],
-                        ["hash", "lang", "times"])
+                    [pa.array(bucket[first].view(np.int64)), _runs(found, bounds), _runs(times.astype(np.uint32), bounds)],
+                    ["bucket", "hashes", "times"])
+
+    def add(batches):
+        hashes, times = [], []
+        for batch in batches:
+            hashes += [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+            times += [np.frombuffer(x, np.uint32) for x in batch.column(2).to_pylist()]
+        if hashes:
+            every, n = np.concatenate(hashes), np.concatenate(times)
+            order = np.argsort(every)
+            every, n = every[order], n[order].astype(np.int64)
+            first = np.flatnonzero(np.diff(every, prepend=~every[:1]))
+            often = np.add.reduceat(n, first) >= min_count
+            yield pa.RecordBatch.from_arrays([pa.array(every[first[often]].view(np.int64))], ["hash"])
 
-    return texts.mapInArrow(run, "hash long, lang string, times long")
+    return (texts.mapInArrow(split, "bucket long, hashes binary, times binary").repartition(parts, "bucket")
+            .mapInArrow(add, "hash long"))
 
 
 def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -137,7 +161,8 @@ def _set_in(bitmap: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
 
 
 def _phrase_counts(texts: DataFrame, bitmap, bits: int) -> DataFrame:
-    """(lang, words, times): per slice its phrases whose parts may all be frequent."""
+    """(lang, words, times): per slice its phrases whose parts may all be frequent, and
+    the number of all words as an empty phrase."""
     def run(batches):
         held = bitmap.value
         for batch in batches:
@@ -145,6 +170,10 @@ def _phrase_counts(texts: DataFrame, bitmap, bits: int) -> DataFrame:
                 own = Slice(part.column(0), part.column(1))
                 at, ids = np.zeros(0, np.int64), own.lang * len(own.words) + own.code
                 may = np.zeros(0, bool)
+                n = np.bincount(own.lang, minlength=len(own.langs))
+                yield pa.RecordBatch.from_arrays(
+                    [own.langs.cast(pa.string()), pa.array([[]] * len(n), pa.list_(pa.string())), pa.array(n, pa.int64())],
+                    ["lang", "words", "times"])
                 for size in range(1, MAX_WORDS + 1):
                     good = own.inside(size)
                     if size < MAX_WORDS:
@@ -237,15 +266,14 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, te
     base = scratch_path(spark, f"phrases-{uuid.uuid4().hex}")
     texts = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
-    sums = _hash_counts(texts).groupBy("hash", "lang").agg(F.sum("times").alias("times"))
-    sums.filter(F.col("hash").isNull() | (F.col("times") >= min_count)).write.parquet(f"{base}/often")
-    often = spark.read.parquet(f"{base}/often")
+    _frequent_hashes(texts, min_count, text_bytes(docs, text_col)).write.parquet(f"{base}/often")
     release(spark)
-    bitmap = spark.sparkContext.broadcast(_bitmap(often.filter("hash IS NOT NULL"), filter_bits))
+    bitmap = spark.sparkContext.broadcast(_bitmap(spark.read.parquet(f"{base}/often"), filter_bits))
     (_phrase_counts(texts, bitmap, filter_bits).groupBy("lang", "words").agg(F.sum("times").alias("a"))
-     .filter(F.col("a") >= min_count).write.parquet(f"{base}/counts"))
+     .filter((F.col("a") >= min_count) | (F.size("words") == 0)).write.parquet(f"{base}/counts"))
     release(spark)
-    counts = spark.read.parquet(f"{base}/counts")
+    both = spark.read.parquet(f"{base}/counts")
+    counts = both.filter(F.size("words") > 0)
     parts = max(1, math.ceil(counts.count() / stream_rows))
 
     def stream(key, left: str, right: str):
@@ -270,7 +298,7 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, te
             .select("lang", "phrase", "a", "s.l", "s.r", "s.score"))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     first = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
-    totals = often.filter("hash IS NULL").select("lang", F.col("times").alias("n"))
+    totals = both.filter(F.size("words") == 0).select("lang", F.col("a").alias("n"))
     out = reliable_checkpoint(first.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
     bitmap.destroy()
