@@ -100,17 +100,21 @@ def align_features(df: DataFrame, names: list[str], type_col: str | None = "type
     return df.select(*(keep or []), *cols)
 
 
-def risk_signals(features: DataFrame) -> DataFrame:
-    """The five rule signals of the scoring page, per transaction."""
-    return features.select(
-        "transaction_id", "is_fraud",
-        (F.col("sender_drained") == 1).alias("sig_drained"),
-        (F.col("dest_was_empty") == 1).alias("sig_empty_dest"),
+def signal_columns() -> list:
+    """The five rule signals of the scoring page; an unknown value raises none."""
+    return [
+        F.coalesce(F.col("sender_drained") == 1, F.lit(False)).alias("sig_drained"),
+        F.coalesce(F.col("dest_was_empty") == 1, F.lit(False)).alias("sig_empty_dest"),
         F.coalesce(F.col("dest_balance_mismatch") > F.col("amount") * F.lit(0.05).cast("decimal(3,2)"),
                    F.lit(False)).alias("sig_mismatch"),
         F.coalesce(F.col("sender_txns_same_step") > 3, F.lit(False)).alias("sig_velocity"),
         F.coalesce(F.col("sender_amount_zscore") > 2.5, F.lit(False)).alias("sig_anomalous"),
-    )
+    ]
+
+
+def risk_signals(features: DataFrame) -> DataFrame:
+    """The five rule signals, per transaction."""
+    return features.select("transaction_id", "is_fraud", *signal_columns())
 
 
 SIGNALS = ["sig_drained", "sig_empty_dest", "sig_mismatch", "sig_velocity", "sig_anomalous"]

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import count_if, double_avg, flag, money_sum, rate
+from ..functions.scans import amount_digits, id_digit, prefix_scan
 from ..schemas import SUM_MONEY
 from ..session import broadcast_if_small
 
@@ -52,74 +53,6 @@ def sender_features(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     return sender_stats(transactions).join(refs, "sender_id")
 
 
-def ml_features(transactions: DataFrame, types: DataFrame,
-                sender_feats: DataFrame, skew_safe: bool = True,
-                segments: int | None = None) -> DataFrame:
-    """A3: ``mv_ml_features``, one row per transaction.
-
-    The window features share one partitioning (sender_id): ``(sender,
-    step)`` windows are served by the same exchange. Running sum and LAG
-    order by (step, transaction_id) so ties in a step are deterministic.
-    Sender totals come from A2 (joined on sender_id; both sides are already
-    hash-partitioned on it).
-
-    ``skew_safe`` (default) avoids per-sender windows altogether: the
-    ordered features come from range-partitioned segments
-    (functions.ordered), the same-step count and the z-score moments are
-    aggregates joined back, so a sender with a third of all rows is spread
-    over many tasks.
-    """
-    if skew_safe:
-        return _ml_features_skew_safe(transactions, types, sender_feats, segments)
-    by_sender = Window.partitionBy("sender_id")
-    ordered = by_sender.orderBy("step", "transaction_id")
-    by_amount = by_sender.orderBy(F.desc("amount"))
-    same_step = Window.partitionBy("sender_id", "step")
-    amount_d = F.col("amount").cast("double")
-    mean = F.sum("amount").over(by_sender).cast("double") / F.count("amount").over(by_sender)
-    std = F.stddev_samp(amount_d).over(by_sender)
-    t = broadcast_if_small(types)
-    base = transactions.join(t, "type_id").select(
-        "transaction_id", "step", "type_name", "amount", "sender_id",
-        "sender_balance_pre", "sender_balance_post", "recip_balance_pre",
-        "recip_balance_post", "is_fraud",
-        (F.col("sender_balance_pre") - F.col("sender_balance_post")).cast(SUM_MONEY)
-        .alias("sender_balance_drop"),
-        (F.col("recip_balance_post") - F.col("recip_balance_pre")).cast(SUM_MONEY)
-        .alias("recipient_balance_gain"),
-        F.abs(F.col("amount") - (F.col("recip_balance_post") - F.col("recip_balance_pre")))
-        .cast(SUM_MONEY).alias("dest_balance_mismatch"),
-        flag(F.col("sender_balance_post") == 0).alias("sender_drained"),
-        flag(F.col("recip_balance_pre") == 0).alias("dest_was_empty"),
-        F.rank().over(by_amount).cast("long").alias("sender_amount_rank"),
-        F.sum("amount").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .cast(SUM_MONEY).alias("sender_cumulative_amount"),
-        F.count(F.lit(1)).over(same_step).alias("sender_txns_same_step"),
-        F.when(std == 0, F.lit(0.0)).otherwise((amount_d - mean) / std)
-        .alias("sender_amount_zscore"),
-        F.lag("amount").over(ordered).alias("sender_prev_amount"),
-    )
-    sf = sender_feats.select(
-        "sender_id",
-        F.col("total_txn_count").alias("sender_total_txns"),
-        F.col("avg_amount").alias("sender_avg_amount"),
-        F.col("fraud_rate").alias("sender_historical_fraud_rate"),
-        F.col("unique_recipients").alias("sender_unique_recipients"),
-    )
-    return base.join(sf, "sender_id").select(*ML_FEATURE_OUTPUT)
-
-
-ML_FEATURE_OUTPUT = [
-    "transaction_id", "step", "type_name", "amount", "sender_id",
-    "sender_balance_pre", "sender_balance_post", "recip_balance_pre", "recip_balance_post",
-    "is_fraud", "sender_balance_drop", "recipient_balance_gain", "dest_balance_mismatch",
-    "sender_drained", "dest_was_empty", "sender_amount_rank", "sender_cumulative_amount",
-    "sender_txns_same_step", "sender_amount_zscore", "sender_prev_amount",
-    "sender_total_txns", "sender_avg_amount", "sender_historical_fraud_rate",
-    "sender_unique_recipients",
-]
-
-
 def point_in_time_features(transactions: DataFrame) -> DataFrame:
     """Leak-free variant of the sender history: only steps strictly before
     the row's step (RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)."""
@@ -133,7 +66,8 @@ def point_in_time_features(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _derived(df: DataFrame) -> list:
+def balance_features() -> list:
+    """A3a-e, from a row's amounts and balances."""
     return [
         (F.col("sender_balance_pre") - F.col("sender_balance_post")).cast(SUM_MONEY)
         .alias("sender_balance_drop"),
@@ -146,24 +80,30 @@ def _derived(df: DataFrame) -> list:
     ]
 
 
-def _ml_features_skew_safe(transactions: DataFrame, types: DataFrame,
-                           sender_feats: DataFrame, segments: int | None) -> DataFrame:
-    from ..functions.ordered import keyed_ordered
-
-    spark = transactions.sparkSession
-    n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = ["transaction_id", "step", "type_id", "amount", "sender_id", "sender_balance_pre",
-            "sender_balance_post", "recip_balance_pre", "recip_balance_post", "is_fraud"]
-    base = transactions.select(*cols)
-    seq = keyed_ordered(base, "sender_id", [F.col("step"), F.col("transaction_id")], n,
-                        running={"amount": "sender_cumulative_amount"},
-                        lags={"amount": "sender_prev_amount"})
-    ranks = keyed_ordered(base.select("transaction_id", "sender_id", "amount"), "sender_id",
-                          [F.desc("amount")], n, rank_as="sender_amount_rank"
-                          ).select("transaction_id", "sender_amount_rank")
-    same_step = base.groupBy("sender_id", "step").agg(
-        F.count(F.lit(1)).alias("sender_txns_same_step"))
-    sf = sender_feats.select(
+def amount_ranks(transactions: DataFrame) -> DataFrame:
+    """A3f: RANK of every (sender, amount) by amount, descending: one more than the rows
+    with larger amounts. Counted per distinct amount, so equal amounts are one row however
+    many there are."""
+    counts = transactions.groupBy("sender_id", "amount").agg(F.count(F.lit(1)).alias("_c"))
+    upto = prefix_scan(counts, ["sender_id"], amount_digits("amount"), ["amount"], {"_c": "_upto"}, descending=True)
+    return upto.select("sender_id", "amount", (F.col("_upto") - F.col("_c") + 1).alias("sender_amount_rank"))
+
+
+def ml_features(transactions: DataFrame, types: DataFrame, sender_feats: DataFrame) -> DataFrame:
+    """A3: ``mv_ml_features``, one row per transaction.
+
+    Running sum, LAG and the same-step count are one scan of (sender, step, id) segments
+    (:mod:`..functions.scans`); rank and sender totals (A2) are joined on (sender,
+    amount). So the rows are exchanged twice, a sender with a third of all rows is spread
+    over many tasks, and ties within a step are ordered by transaction_id.
+    """
+    rows = prefix_scan(
+        transactions.select("transaction_id", "step", "type_id", "amount", "sender_id", "sender_balance_pre",
+                            "sender_balance_post", "recip_balance_pre", "recip_balance_post", "is_fraud"),
+        ["sender_id"], [F.col("step"), id_digit("transaction_id")], ["transaction_id"],
+        sums={"amount": "sender_cumulative_amount"}, lags={"amount": "sender_prev_amount"},
+        group_count="sender_txns_same_step")
+    totals = sender_feats.select(
         "sender_id",
         F.col("total_txn_count").alias("sender_total_txns"),
         F.col("avg_amount").alias("sender_avg_amount"),
@@ -171,22 +111,13 @@ def _ml_features_skew_safe(transactions: DataFrame, types: DataFrame,
         F.col("unique_recipients").alias("sender_unique_recipients"),
         F.col("stddev_amount").alias("_std"),
     )
-    amount_d = F.col("amount").cast("double")
-    out = (seq.join(ranks, "transaction_id")
-           .join(same_step, ["sender_id", "step"])
-           .join(sf, "sender_id")
-           .join(broadcast_if_small(types), "type_id"))
+    of_amount = amount_ranks(transactions).join(totals, "sender_id")
+    out = rows.join(of_amount, ["sender_id", "amount"]).join(broadcast_if_small(types), "type_id")
+    z = F.when(F.col("_std") == 0, F.lit(0.0)).otherwise(
+        (F.col("amount").cast("double") - F.col("sender_avg_amount")) / F.col("_std"))
     return out.select(
-        "transaction_id", "step", "type_name", "amount", "sender_id",
-        "sender_balance_pre", "sender_balance_post", "recip_balance_pre",
-        "recip_balance_post", "is_fraud", *_derived(out),
-        "sender_amount_rank",
+        "transaction_id", "step", "type_name", "amount", "sender_id", "sender_balance_pre", "sender_balance_post",
+        "recip_balance_pre", "recip_balance_post", "is_fraud", *balance_features(), "sender_amount_rank",
         F.col("sender_cumulative_amount").cast(SUM_MONEY).alias("sender_cumulative_amount"),
-        "sender_txns_same_step",
-        F.when(F.col("_std") == 0, F.lit(0.0))
-        .otherwise((amount_d - F.col("sender_avg_amount")) / F.col("_std"))
-        .alias("sender_amount_zscore"),
-        "sender_prev_amount",
-        "sender_total_txns", "sender_avg_amount", "sender_historical_fraud_rate",
-        "sender_unique_recipients",
-    )
+        "sender_txns_same_step", z.alias("sender_amount_zscore"), "sender_prev_amount", "sender_total_txns",
+        "sender_avg_amount", "sender_historical_fraud_rate", "sender_unique_recipients")

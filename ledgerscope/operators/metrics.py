@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import count_if, safe_div
+from ..functions.scans import prefix_scan, score_digits
 
 # Metric values are sums of non-integer terms; round away summation-order noise.
 METRIC_DIGITS = 12
@@ -30,17 +31,12 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
 def _cumulative(counts: DataFrame) -> DataFrame:
     """Cumulative tp/fp at each threshold (score >= t), plus totals.
 
-    A model's scores are nearly all distinct, so the per-score table grows
-    with the scored rows; the running sums use the range-segmented ordered
-    window (functions.ordered) instead of one un-partitioned window. Totals
-    are a one-row aggregate joined on a constant key."""
-    from ..functions.ordered import keyed_ordered
-
-    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = counts.withColumn("_k", F.lit(0))
-    cum = keyed_ordered(keyed, "_k", [F.desc("score")], n, running={"pos": "tp", "neg": "fp"})
-    tot = keyed.groupBy("_k").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.join(F.broadcast(tot), "_k").select("score", "pos", "neg", "tp", "fp", "P", "N")
+    A model's scores are nearly all distinct, so the per-score table grows with the scored
+    rows; the running sums are a scan over digits of the score (functions.scans) instead
+    of one un-partitioned window. The totals are one row, joined by broadcast."""
+    cum = prefix_scan(counts, [], score_digits("score"), ["score"], {"pos": "tp", "neg": "fp"}, descending=True)
+    tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return cum.join(F.broadcast(tot)).select("score", "pos", "neg", "tp", "fp", "P", "N")
 
 
 def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

@@ -8,11 +8,12 @@ size-checked, broadcast) types table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import count_if, money_sum, pct, safe_div, sum_if
-from ..schemas import SUM_MONEY
+from ..functions.scans import id_digit, prefix_scan
+from ..schemas import MONEY, SUM_MONEY
 from ..session import broadcast_if_small
 
 
@@ -177,51 +178,70 @@ def receive_only_accounts(transactions: DataFrame, accounts: DataFrame,
 PERCENTILES = [0.25, 0.50, 0.75, 0.90, 0.99]
 
 
-def amount_percentiles(transactions: DataFrame, types: DataFrame,
-                       method: str = "distributed", accuracy: int = 10_000) -> DataFrame:
-    """Q6: PERCENTILE_CONT at 25/50/75/90/99 % and the maximum per type.
-
-    ``distributed`` (default, exact): count rows per (type, amount) with
-    map-side partial aggregation, take cumulative counts per type in amount
-    order with the skew-safe ordered window (a type is a hot key by nature),
-    pick the two values around position p * (n - 1) and interpolate as
-    PostgreSQL does: lo + (hi - lo) * frac. No group buffers all its values.
-    ``builtin`` uses Spark's exact ``percentile`` (one buffer entry per
-    distinct amount of a type); ``approx`` the mergeable
-    ``percentile_approx`` sketch of fixed memory.
+#: Buckets of one selection pass, as bits; cents of a NUMERIC(18,2) have fewer bits than this.
+SELECT_BITS, MONEY_BITS = 14, 61
+
+
+def _select_positions(values: DataFrame, wanted: Column) -> DataFrame:
+    """(type_id, _n, _found: position -> cents): the values at 0-based positions of each
+    type's sorted cents (``wanted``: an array of positions from the type's count ``_n``),
+    from counts (type_id, cents, _c).
+
+    Values are narrowed down digit by digit, from the highest: a pass counts the rows of
+    each type by the next bits of their cents, for the wanted prefixes only, and picks
+    the digit in which each wanted position lies. No value is sorted or collected; a pass
+    leaves at most 2^SELECT_BITS counts per wanted prefix."""
+    shift = MONEY_BITS + 1
+    values = values.withColumn("_value", F.col("cents") + F.lit(1 << MONEY_BITS))  # no negative digits
+    base = values.groupBy("type_id").agg(F.sum("_c").alias("_n"))
+    # of each wanted position: the cents' digits so far, and the position among the rows that share them
+    targets = base.select("type_id", "_n", F.explode(F.array_distinct(wanted)).alias("_pos")).select(
+        "*", F.lit(0).cast("long").alias("_prefix"), F.col("_pos").alias("_rest"))
+    while shift > 0:
+        step = min(SELECT_BITS, shift)
+        shift -= step
+        prefixes = targets.select("type_id", "_prefix").distinct()
+        digit = F.shiftright("_value", shift)
+        counted = (values.withColumn("_digit", digit).withColumn("_prefix", F.shiftright(digit, step))
+                   .join(F.broadcast(prefixes), ["type_id", "_prefix"])
+                   .groupBy("type_id", "_prefix", "_digit").agg(F.sum("_c").alias("_c")))
+        rows = counted.groupBy("type_id", "_prefix").agg(
+            F.array_sort(F.collect_list(F.struct("_digit", "_c"))).alias("_counts"))
+        start = F.struct(F.lit(None).cast("long").alias("digit"), F.col("_rest").alias("rest"))
+        # walk up the digits until the position is used up
+        found = F.aggregate("_counts", start, lambda acc, x: F.when(acc["digit"].isNotNull(), acc).otherwise(F.struct(
+            F.when(acc["rest"] < x["_c"], x["_digit"]).alias("digit"),
+            F.when(acc["rest"] < x["_c"], acc["rest"]).otherwise(acc["rest"] - x["_c"]).alias("rest"))))
+        targets = (targets.join(rows, ["type_id", "_prefix"]).withColumn("_f", found)
+                   .select("type_id", "_n", "_pos", F.col("_f.digit").alias("_prefix"), F.col("_f.rest").alias("_rest")))
+    return targets.groupBy("type_id").agg(F.max("_n").alias("_n"), F.map_from_entries(F.collect_list(
+        F.struct("_pos", (F.col("_prefix") - F.lit(1 << MONEY_BITS)).alias("cents")))).alias("_found"))
+
+
+def amount_percentiles(transactions: DataFrame, types: DataFrame) -> DataFrame:
+    """Q6: PERCENTILE_CONT at 25/50/75/90/99 % and the maximum per type, exact.
+
+    The two order statistics around position p * (n - 1) are selected by histograms of the
+    amounts' digits (:func:`_select_positions`) and interpolated as PostgreSQL does: lo +
+    (hi - lo) * frac. The rows are read and exchanged once, as counts per amount; no group
+    holds its values and nothing is sorted.
     """
+    values = transactions.where(F.col("amount").isNotNull()).groupBy(
+        "type_id", (F.col("amount") * 100).cast("long").alias("cents")).agg(F.count(F.lit(1)).alias("_c"))
+    at = [(F.col("_n") - 1).cast("double") * p for p in PERCENTILES]
+    wanted = F.array(*[f(x).cast("long") for x in at for f in (F.floor, F.ceil)])
+    found = _select_positions(values, wanted)
     names = ["p25", "p50", "p75", "p90", "p99"]
-    if method in ("builtin", "approx"):
-        amount = F.col("amount").cast("double")
-        probs = F.array(*[F.lit(p) for p in PERCENTILES])
-        q = (F.percentile(amount, probs) if method == "builtin"
-             else F.percentile_approx(amount, probs, accuracy))
-        per_type = transactions.groupBy("type_id").agg(q.alias("_q"),
-                                                       F.max("amount").alias("max_amount"))
-        return per_type.join(broadcast_if_small(types), "type_id").select(
-            "type_name", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)],
-            "max_amount")
-    from ..functions.ordered import keyed_ordered
-
-    n_seg = int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = (transactions.where(F.col("amount").isNotNull())
-              .groupBy("type_id", "amount").agg(F.count(F.lit(1)).alias("_c")))
-    cum = keyed_ordered(counts, "type_id", [F.col("amount")], n_seg, running={"_c": "_cum"})
-    totals = counts.groupBy("type_id").agg(F.sum("_c").alias("_n"))
-    # a distinct amount covers 0-based positions [_cum - _c, _cum - 1]
-    cum = cum.join(totals, "type_id")
-    aggs = [F.max("amount").alias("max_amount")]
-    for p, nm in zip(PERCENTILES, names):
-        pos = (F.col("_n") - 1).cast("double") * p
-        for side, bound in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = (F.col("_cum") - F.col("_c") <= bound) & (bound < F.col("_cum"))
-            aggs.append(F.max(F.when(hit, F.col("amount").cast("double"))).alias(f"_{nm}_{side}"))
-        aggs.append(F.max(pos - F.floor(pos)).alias(f"_{nm}_frac"))
-    per_type = cum.groupBy("type_id").agg(*aggs)
-    interp = [(F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo"))
-               * F.col(f"_{nm}_frac")).alias(nm) for nm in names]
-    return per_type.join(broadcast_if_small(types), "type_id").select(
-        "type_name", *interp, "max_amount")
+
+    def value(position):
+        return F.element_at("_found", position.cast("long")).cast("double") / 100
+
+    interp = [(value(F.floor(x)) + (value(F.ceil(x)) - value(F.floor(x))) * (x - F.floor(x))).alias(n)
+              for x, n in zip(at, names)]
+    top = values.groupBy("type_id").agg(
+        (F.max("cents").cast("decimal(20,0)") / 100).cast(MONEY).alias("max_amount"))
+    return (found.join(top, "type_id").join(broadcast_if_small(types), "type_id")
+            .select("type_name", *interp, "max_amount"))
 
 
 def burst_senders(transactions: DataFrame, accounts: DataFrame, min_count: int = 5) -> DataFrame:
@@ -235,21 +255,10 @@ def burst_senders(transactions: DataFrame, accounts: DataFrame, min_count: int =
     ).orderBy(F.desc("txn_count"), "account_ref", "step")
 
 
-def _balance_gaps(transactions: DataFrame, tol: float, skew_safe: bool = True) -> DataFrame:
-    cols = ["transaction_id", "sender_id", "step", "sender_balance_pre", "sender_balance_post"]
-    if skew_safe:
-        from ..functions.ordered import keyed_ordered
-        n = int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = keyed_ordered(transactions.select(*cols), "sender_id",
-                           [F.col("step"), F.col("transaction_id")], n,
-                           lags={"sender_balance_post": "prev_balance_post"})
-        df = df.select("transaction_id", "sender_id", "step", "sender_balance_pre",
-                       "prev_balance_post")
-    else:
-        w = Window.partitionBy("sender_id").orderBy("step", "transaction_id")
-        df = transactions.select(
-            "transaction_id", "sender_id", "step", "sender_balance_pre",
-            F.lag("sender_balance_post").over(w).alias("prev_balance_post"))
+def _balance_gaps(transactions: DataFrame, tol: float) -> DataFrame:
+    rows = transactions.select("transaction_id", "sender_id", "step", "sender_balance_pre", "sender_balance_post")
+    df = prefix_scan(rows, ["sender_id"], [F.col("step"), id_digit("transaction_id")], ["transaction_id"],
+                     lags={"sender_balance_post": "prev_balance_post"}).drop("sender_balance_post")
     gap = F.abs(F.col("sender_balance_pre") - F.col("prev_balance_post"))
     return df.where(F.col("prev_balance_post").isNotNull() & (gap > tol)).withColumn(
         "inconsistency", gap.cast(SUM_MONEY))

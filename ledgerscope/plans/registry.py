@@ -722,7 +722,7 @@ register_models(register)
 
 from .stream_registry import register_streams  # noqa: E402
 
-register_streams(register, _A5, _Q7)
+register_streams(register, _A5, _Q7, f"SELECT transaction_id, {', '.join(FEATURE_COLS)} FROM ml_features", _SIG)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

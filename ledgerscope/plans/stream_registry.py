@@ -1,8 +1,7 @@
-"""Registry entries of the streaming re-aim: each runs a Structured
-Streaming query to completion (Trigger.AvailableNow) into a Parquet sink in
-the shared checkpoint area and returns the sink. Windowed reports emit a
-window once the watermark (max event time - 1 hour) passes its end, so the
-oracles keep the hours that are closed at the end of the input."""
+"""Registry entries of the streaming re-aim: each runs a Structured Streaming query over
+all events (Trigger.AvailableNow) into published tables in the shared checkpoint area and
+returns what they hold. Partials are complete at any time, so the oracles are those of the
+batch reports."""
 
 from __future__ import annotations
 
@@ -10,45 +9,58 @@ import uuid
 
 from ..ml import models
 from ..session import scratch_path
+from ..sources.versions import PublishedTable
 from ..streaming import pipeline as sp
+from .layers import fixture_layers
 from .ml_registry import trained
 
-# A window [step, step + 1 h) is emitted when step + 2 h <= max event time.
-_CLOSED = ("(step + 2) * CAST(3600000000 AS BIGINT) <= date_diff('microsecond', "
-           "TIMESTAMP '2024-01-01 00:00:00', (SELECT MAX(ts) FROM events))")
 
-
-def _utc(spark) -> None:
-    """Event time is stored without a zone; the fixture reads it as UTC
-    (FIXTURES.md), so hour windows line up with steps."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def _store(spark, name: str) -> tuple[sp.StreamStore, str]:
+    base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
+    return sp.StreamStore(spark, f"{base}/store"), f"{base}/checkpoint"
 
 
-def _fresh(spark, name: str) -> tuple[str, str]:
-    base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
-    return f"{base}/sink", f"{base}/checkpoint"
+def _scored(spark, sf_dir, name: str, model=None, features=None):
+    store, checkpoint = _store(spark, name)
+    sink = PublishedTable(spark, f"{store.path}/scored")
+    staged = sp.staged_stream(sp.event_stream(spark, sf_dir))
+    senders = fixture_layers(spark, sf_dir).sender_features
+    return sp.score_stream(staged, store, senders, sink, checkpoint, model, features).read()
 
 
-def register_streams(register, fraud_trend_sql: str, burst_sql: str) -> None:
-    @register("stream_fraud_trend", "A5/stream", raw=True, bench=False,
-              sql=f"SELECT * FROM ({fraud_trend_sql}) x WHERE {_CLOSED}")
+def register_streams(register, fraud_trend_sql: str, burst_sql: str, features_sql: str, signals_sql: str) -> None:
+    @register("stream_fraud_trend", "A5/stream", raw=True, bench=False, sql=fraud_trend_sql)
     def _trend(spark, sf_dir):
-        _utc(spark)
-        valid = sp.staged_stream(sp.event_stream(spark, sf_dir))
-        return sp.run_to_table(sp.hourly_fraud_trend(valid), *_fresh(spark, "trend"))
+        store, checkpoint = _store(spark, "trend")
+        return sp.collect_hours(sp.staged_stream(sp.event_stream(spark, sf_dir)), store, checkpoint).fraud_trend()
 
-    @register("stream_burst_senders", "Q7/stream", raw=True, bench=False, variant="burst",
-              sql=f"SELECT * FROM ({burst_sql}) x WHERE {_CLOSED}")
+    @register("stream_burst_senders", "Q7/stream", raw=True, bench=False, variant="burst", sql=burst_sql)
     def _bursts(spark, sf_dir):
-        _utc(spark)
-        valid = sp.staged_stream(sp.event_stream(spark, sf_dir), "burst")
-        return sp.run_to_table(sp.hourly_bursts(valid), *_fresh(spark, "bursts"))
+        store, checkpoint = _store(spark, "bursts")
+        staged = sp.staged_stream(sp.event_stream(spark, sf_dir), "burst")
+        return sp.collect_hours(staged, store, checkpoint).bursts()
+
+    @register("stream_rejected", "C10/stream", raw=True, bench=False, variant="dirty", sql="""
+SELECT transaction_id, array_to_string(reasons, ',') AS reasons FROM quarantined""")
+    def _rejected(spark, sf_dir):
+        store, checkpoint = _store(spark, "rejected")
+        sp.collect_hours(sp.staged_stream(sp.event_stream(spark, sf_dir), "dirty"), store, checkpoint)
+        return store.rejected.read().selectExpr("transaction_id", "array_join(reasons, ',') AS reasons")
+
+    @register("stream_features", "D6/stream", raw=True, bench=False, sql=features_sql)
+    def _features(spark, sf_dir):
+        from ..schemas import FEATURE_COLS
+
+        return _scored(spark, sf_dir, "features").select("transaction_id", *FEATURE_COLS)
+
+    @register("stream_signals", "D8/stream", raw=True, bench=False, sql=signals_sql)
+    def _signals(spark, sf_dir):
+        from ..operators.dashboard import SIGNALS
+
+        return _scored(spark, sf_dir, "signals").select("transaction_id", "is_fraud", *SIGNALS)
 
     @register("stream_score", "D6-D8/D7 stream", raw=True, bench=False)
     def _score(spark, sf_dir):
-        _utc(spark)
         r = trained(spark, sf_dir)
         model, meta = models.load_artifact(f"{r.artifact_path}/fraud_model")
-        valid = sp.staged_stream(sp.event_stream(spark, sf_dir))
-        return sp.run_to_table(sp.scored_stream(valid, model, meta["feature_names"]),
-                               *_fresh(spark, "score"))
+        return _scored(spark, sf_dir, "score", model, meta["feature_names"])
