@@ -7,6 +7,7 @@ collected except single scalars (the largest existing id).
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,23 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.exprs import account_type, normalize_type
 from ..functions.keys import dense_surrogate_key
 from ..schemas import MALFORMED, MONEY, SEED_TYPE_NAMES, TYPES
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, reliable_checkpoint
 from ..sources.files import as_of_lit
 
-# Quarantine reasons, one per rule of the core table's DDL.
-REASONS = [
-    "step_null",
-    "step_negative",
-    "type_null",
-    "amount_null",
-    "amount_negative",
-    "balance_negative",
-    "sender_null",
-    "recipient_null",
-    "label_null",
-    "unknown_type",
-]
-
 BALANCE_COLS = ["old_balance_orig", "new_balance_orig", "old_balance_dest", "new_balance_dest"]
 
 
@@ -76,12 +63,33 @@ def upsert_types(staging: DataFrame, types: DataFrame) -> DataFrame:
 
 # ── C5, C6, C7: accounts ─────────────────────────────────────────────────────
 def account_refs(staging: DataFrame) -> DataFrame:
-    """Distinct non-NULL senders and recipients (UNION, not UNION ALL)."""
-    refs = staging.select(F.col("name_orig").alias("account_ref")).unionByName(
-        staging.select(F.col("name_dest").alias("account_ref")))
+    """Distinct non-NULL senders and recipients (UNION, not UNION ALL), in one scan."""
+    refs = staging.select(F.explode(F.array("name_orig", "name_dest")).alias("account_ref"))
     return refs.where(F.col("account_ref").isNotNull()).distinct()
 
 
+def merge_accounts(staging: DataFrame, accounts: DataFrame | None = None,
+                   as_of: datetime | None = None) -> DataFrame:
+    """C5 and C6 of one load: new refs get ids after the largest one, known ones are
+    touched. Staging is read once: one outer join of its refs with the table tells both."""
+    if accounts is None:
+        return upsert_accounts(staging, None, as_of)
+    ts = as_of_lit(as_of)
+    both = reliable_checkpoint(account_refs(staging).withColumn("_seen", F.lit(True))
+                               .join(accounts, "account_ref", "full_outer"))
+    known = both.where(F.col("account_id").isNotNull()).select(
+        "account_id", "account_ref", "account_type", "first_seen",
+        F.when(F.col("_seen"), ts).otherwise(F.col("last_seen")).alias("last_seen"))
+    fresh = both.where(F.col("account_id").isNull()).select("account_ref")
+    return known.unionByName(_numbered_accounts(fresh, _next_id(both, "account_id"), ts))
+
+
+def _numbered_accounts(refs: DataFrame, start: int, ts) -> DataFrame:
+    return dense_surrogate_key(refs, ["account_ref"], "account_id", start=start).select(
+        "account_id", "account_ref", account_type("account_ref").alias("account_type"),
+        ts.alias("first_seen"), ts.alias("last_seen"))
+
+
 def upsert_accounts(staging: DataFrame, accounts: DataFrame | None = None,
                     as_of: datetime | None = None) -> DataFrame:
     """INSERT new refs (prefix M -> 'M', else 'C') ON CONFLICT DO NOTHING.
@@ -94,11 +102,7 @@ def upsert_accounts(staging: DataFrame, accounts: DataFrame | None = None,
     if accounts is not None:
         refs = refs.join(accounts.select("account_ref"), "account_ref", "left_anti")
         start = _next_id(accounts, "account_id")
-    ts = as_of_lit(as_of)
-    new = dense_surrogate_key(refs, ["account_ref"], "account_id", start=start).select(
-        "account_id", "account_ref", account_type("account_ref").alias("account_type"),
-        ts.alias("first_seen"), ts.alias("last_seen"),
-    )
+    new = _numbered_accounts(refs, start, as_of_lit(as_of))
     return new if accounts is None else accounts.unionByName(new)
 
 
@@ -124,8 +128,9 @@ def account_counts(accounts: DataFrame) -> DataFrame:
 
 
 # ── C10: constraint validation with quarantine ──────────────────────────────
-#: Amounts are NUMERIC(18,2): sixteen digits before the point.
-MONEY_LIMIT = 1e16
+#: Amounts are NUMERIC(18,2), sixteen digits before the point; from here on rounding to
+#: two places needs a seventeenth.
+MONEY_LIMIT = Decimal("9999999999999999.995")
 
 
 def _reason_array(staging: DataFrame, types: DataFrame | None):
@@ -136,8 +141,8 @@ def _reason_array(staging: DataFrame, types: DataFrame | None):
         ("amount_null", F.col("amount").isNull()),
         ("amount_negative", F.col("amount") < 0),
         ("balance_negative", F.greatest(*[F.col(b) < 0 for b in BALANCE_COLS])),
-        ("amount_out_of_range", F.abs("amount") >= MONEY_LIMIT),
-        ("balance_out_of_range", F.greatest(*[F.abs(b) >= MONEY_LIMIT for b in BALANCE_COLS])),
+        ("amount_out_of_range", F.abs("amount") >= F.lit(MONEY_LIMIT)),
+        ("balance_out_of_range", F.greatest(*[F.abs(b) >= F.lit(MONEY_LIMIT) for b in BALANCE_COLS])),
         ("sender_null", F.col("name_orig").isNull()),
         ("recipient_null", F.col("name_dest").isNull()),
         ("label_null", F.col("is_fraud").isNull() | F.col("is_flagged_fraud").isNull()),
@@ -225,8 +230,6 @@ def sequential_ids(df: DataFrame, id_col: str, start: int = 1) -> DataFrame:
     global window."""
     from pyspark.sql import Window
 
-    from ..session import reliable_checkpoint
-
     tagged = reliable_checkpoint(df.withColumn("_mid", F.monotonically_increasing_id()))
     tagged = tagged.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))

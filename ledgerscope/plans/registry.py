@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from ..functions.selection import portable_hash_sql
 from ..operators import dashboard as dash
 from ..operators import ingest, metrics, quality, reports
-from ..schemas import FEATURE_COLS, SEED_TYPE_NAMES, SUM_MONEY, TYPE_DUMMIES
+from ..schemas import (CSV_COLUMNS, FEATURE_COLS, MALFORMED, RAW_DECIMAL, SEED_TYPE_NAMES, SUM_MONEY,
+                       TYPE_DUMMIES)
 from ..sources.files import csv_load, write_csv
 from . import ml_plans
 from .layers import Layers, fixture_layers, layer_path, refresh_features
 from .oracle import oracle
+from .warehouse import Warehouse
 
 
 @dataclass
@@ -74,7 +76,29 @@ def _csv_load(spark, sf_dir):
     """Staging written as the raw CSV file, read back by the CSV source."""
     path = layer_path(spark, sf_dir, "clean", f"raw_csv-{uuid.uuid4().hex}")
     write_csv(fixture_layers(spark, sf_dir).staging, path)
-    return csv_load(spark, path)
+    return csv_load(spark, path).drop(MALFORMED)
+
+
+@register("csv_malformed", "S1/C10/C12", raw=True, sql="""
+SELECT line, CASE WHEN line % 40 = 1 THEN 'few' WHEN line % 40 = 2 THEN 'word' ELSE 'many' END AS defect
+FROM (SELECT row_number() OVER (ORDER BY transaction_id) AS line FROM staging) s WHERE line % 40 IN (1, 2, 3)""")
+def _csv_malformed(spark, sf_dir):
+    """Raw CSV of which some lines have too few fields, a word for a number or one field
+    too many: they are quarantined, and their ids are their places in the files."""
+    path = layer_path(spark, sf_dir, "clean", f"broken_csv-{uuid.uuid4().hex}")
+    staged = fixture_layers(spark, sf_dir).staging
+    numbered = staged.repartitionByRange(3, "transaction_id").sortWithinPartitions("transaction_id")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in CSV_COLUMNS]
+    case = F.col("transaction_id") % 40
+    lines = numbered.select(
+        F.when(case == 1, F.concat_ws(",", *fields[:8], F.lit("few")))
+        .when(case == 2, F.concat_ws(",", F.lit("word"), *fields[1:]))
+        .when(case == 3, F.concat_ws(",", *fields, F.lit("many"))).otherwise(F.concat_ws(",", *fields)).alias("value"))
+    lines.write.text(path)
+    _, parked = ingest.validate_constraints(csv_load(spark, path, header=False, number_from=1, id_col="line"))
+    return parked.select("line", F.when(F.col(MALFORMED).endswith("few"), "few")
+                         .when(F.col(MALFORMED).startswith("word"), "word")
+                         .when(F.col(MALFORMED).endswith("many"), "many").alias("defect"))
 
 
 @register("sample_exact", "S2", sql=f"""
@@ -139,11 +163,58 @@ FROM (
 def _incremental_accounts(L):
     """Two loads (steps before / from SPLIT_STEP): the second upserts new
     accounts after the current maximum id and touches last_seen."""
-    first = L.valid.where(F.col("step") < SPLIT_STEP)
-    second = L.valid.where(F.col("step") >= SPLIT_STEP)
-    acc = ingest.upsert_accounts(first, None)
-    acc = ingest.touch_last_seen(acc, second, AS_OF_2)
-    return ingest.upsert_accounts(second, acc, AS_OF_2)
+    first = ingest.merge_accounts(L.valid.where(F.col("step") < SPLIT_STEP), None)
+    return ingest.merge_accounts(L.valid.where(F.col("step") >= SPLIT_STEP), first, AS_OF_2)
+
+
+#: The second load starts before the first one ends: transactions of both are loaded once.
+OVERLAP_STEP = 300
+
+_TWO_LOADS = f"""
+refs1 AS (SELECT account_ref FROM (SELECT name_orig AS account_ref FROM valid WHERE step < {SPLIT_STEP}
+          UNION SELECT name_dest FROM valid WHERE step < {SPLIT_STEP}) x),
+refs2 AS (SELECT account_ref FROM (SELECT name_orig AS account_ref FROM valid WHERE step >= {OVERLAP_STEP}
+          UNION SELECT name_dest FROM valid WHERE step >= {OVERLAP_STEP}) x),
+two_loads AS (
+  SELECT row_number() OVER (ORDER BY later, account_ref) AS account_id, account_ref
+  FROM (SELECT account_ref, 0 AS later FROM refs1
+        UNION ALL SELECT account_ref, 1 FROM refs2 WHERE account_ref NOT IN (SELECT account_ref FROM refs1)) u)
+"""
+
+
+def _two_loads(spark, sf_dir) -> Warehouse:
+    staging = fixture_layers(spark, sf_dir).staging
+    w = Warehouse(spark, layer_path(spark, sf_dir, "clean", f"loads-{uuid.uuid4().hex}"))
+    w.load(staging.where(F.col("step") < SPLIT_STEP))
+    w.refresh()
+    w.load(staging.where(F.col("step") >= OVERLAP_STEP), AS_OF_2)
+    w.refresh()
+    return w
+
+
+@register("second_load", "S4/C4-C8/C12", raw=True, bench=False, extra_ctes=_TWO_LOADS, sql=f"""
+SELECT t.transaction_id, t.step, t.type_id, t.amount, s.account_id AS sender_id, r.account_id AS recipient_id,
+       v.name_orig AS sender_ref, v.name_dest AS recipient_ref, t.is_fraud,
+       CASE WHEN t.step < {SPLIT_STEP} THEN TIMESTAMP '2024-02-01 00:00:00'
+            ELSE TIMESTAMP '2024-03-01 00:00:00' END AS created_at
+FROM transactions t JOIN valid v ON v.transaction_id = t.transaction_id
+JOIN two_loads s ON s.account_ref = v.name_orig JOIN two_loads r ON r.account_ref = v.name_dest""")
+def _second_load(spark, sf_dir):
+    """Transactions after two loads that overlap, with the refs of their accounts."""
+    return _two_loads(spark, sf_dir).with_refs().select(
+        "transaction_id", "step", "type_id", "amount", "sender_id", "recipient_id", "sender_ref", "recipient_ref",
+        "is_fraud", "created_at")
+
+
+_A2_COLS = ("account_ref", "total_txn_count", "total_amount", "avg_amount", "stddev_amount", "max_amount", "min_amount",
+            "fraud_count", "fraud_rate", "unique_recipients", "active_duration_steps")
+
+
+@register("incremental_sender_features", "C11/A2", raw=True, bench=False,
+          sql=f"SELECT {', '.join(_A2_COLS)} FROM sender_features")
+def _incremental_features(spark, sf_dir):
+    """A2 refreshed after each of two loads from the new transactions only."""
+    return _two_loads(spark, sf_dir).sender_features().select(*_A2_COLS)
 
 
 @register("account_total", "C7", sql="SELECT COUNT(*) AS total_accounts FROM accounts")
@@ -180,6 +251,37 @@ def _quarantine_rows(L):
     return L.quarantined.select("transaction_id", F.array_join("reasons", ",").alias("reasons"))
 
 
+_RANGE = """
+SELECT transaction_id, CASE transaction_id % 4 WHEN 0 THEN 'amount_out_of_range'
+                            WHEN 1 THEN 'balance_out_of_range' END AS reasons
+FROM staging WHERE transaction_id % 4 < 2"""
+
+
+@register("quarantine_out_of_range", "C10", sql=_RANGE)
+def _quarantine_range(L):
+    """Amounts and balances at both sides of NUMERIC(18,2)'s limit: 9,999,999,999,999,999.99
+    fits, half a cent more is rounded beyond it."""
+    m, beyond, fits = F.col("transaction_id") % 4, "9999999999999999.995", "9999999999999999.99"
+
+    def edge(case):
+        return F.when(m == case, F.lit(beyond)).when(m == case + 2, F.lit(fits)).cast(RAW_DECIMAL)
+
+    rows = L.staging.withColumn("amount", F.coalesce(edge(0), F.col("amount"))).withColumn(
+        "new_balance_dest", F.coalesce(edge(1), F.col("new_balance_dest")))
+    _, parked = ingest.validate_constraints(rows)
+    return parked.select("transaction_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@register("quarantine_unknown_type", "C10", variant="dirty", sql="""
+SELECT transaction_id, array_to_string(list_concat(reasons, CASE WHEN upper(trim(type)) = 'REFUND'
+       THEN ['unknown_type'] ELSE [] END), ',') AS reasons
+FROM checked WHERE len(reasons) > 0 OR upper(trim(type)) = 'REFUND'""")
+def _quarantine_type(L):
+    """The foreign key on the type, where the types are not extended by the load."""
+    _, parked = ingest.validate_constraints(L.staging, ingest.seed_types(L.staging.sparkSession))
+    return parked.select("transaction_id", F.array_join("reasons", ",").alias("reasons"))
+
+
 @register("orphaned_type_refs", "V1", sql="""
 SELECT COUNT(*) AS orphaned_type_refs FROM transactions t
 WHERE NOT EXISTS (SELECT 1 FROM types tt WHERE tt.type_id = t.type_id)""")
