@@ -7,7 +7,9 @@ a space. Arrow finds the distinct chunks of some megabytes of text; each is enco
 once by the tokenizers library and remembered per worker, in two generations of
 bounded size: when the young one is full it becomes the old one, so frequent chunks
 stay. Any other white space stays inside its chunk and is left to the library.
-Strings of special tokens in a text are ordinary text.
+A text that holds the string of a special token is given to the library as a whole, so
+the string becomes that token, as by the library's default; with ``special_as_text``
+such strings are ordinary text.
 """
 
 from __future__ import annotations
@@ -36,12 +38,15 @@ SLICE_BYTES = 8 << 20
 class ChunkTokenizer:
     """Ids (little-endian unsigned 16 or 32 bit) of whole texts."""
 
-    def __init__(self, path: str, width: int = 4):
+    def __init__(self, path: str, width: int = 4, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)  # for chunks, which hold no special tokens
         self.tokenizer.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path)
+        self.special = [] if special_as_text else [
+            t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.type, self.code = {2: ("<u2", "H"), 4: ("<u4", "I")}[width]
         names = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_names = {b: names.pre_tokenize_str(bytes([0xC3, b]).decode())[0][0][1]
@@ -108,7 +113,29 @@ class ChunkTokenizer:
         """The ids of all texts, one after the other, and where each text's end.
         Nulls are empty. Chunks are told apart by Arrow's dictionary, so Python
         sees each distinct chunk of the column once."""
-        plain = pc.ascii_lower(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "))
+        texts, odd = pc.fill_null(texts, ""), {}
+        for string in self.special:
+            for at in np.flatnonzero(pc.match_substring(texts, string).to_numpy(zero_copy_only=False)).tolist():
+                odd[at] = None
+        if odd:
+            for at in odd:
+                odd[at] = np.array(self.whole.encode(texts[at].as_py(), add_special_tokens=False).ids, self.type)
+            texts = pc.if_else(pa.array([i in odd for i in range(len(texts))]), "", texts)
+        ids, ends = self._plain_column(texts)
+        return self._with(ids, ends, odd) if odd else (ids, ends)
+
+    @staticmethod
+    def _with(ids: np.ndarray, ends: np.ndarray, odd: dict) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column with those of the texts that the library encoded."""
+        parts, start, sizes = [], 0, np.diff(ends, prepend=0)
+        for at in sorted(odd):
+            parts += [ids[start:ends[at]], odd[at]]
+            start = ends[at]
+            sizes[at] = len(odd[at])
+        return np.concatenate([*parts, ids[start:]]), np.cumsum(sizes)
+
+    def _plain_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
         lists = pc.split_pattern(pc.replace_substring_regex(plain, MARK_BEHIND_WORD, r"\1 \2\3"), " ")
         chunks = lists.flatten().dictionary_encode()
         of_word = self._ids_of(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
@@ -141,6 +168,6 @@ class ChunkTokenizer:
                 at = stop
 
 
-def chunk_tokenizer(path: str, width: int = 4) -> ChunkTokenizer:
+def chunk_tokenizer(path: str, width: int = 4, special_as_text: bool = False) -> ChunkTokenizer:
     """The worker's tokenizer for a file."""
-    return worker_cache(("tokenizer", path, width), lambda: ChunkTokenizer(path, width))
+    return worker_cache(("tokenizer", path, width, special_as_text), lambda: ChunkTokenizer(path, width, special_as_text))

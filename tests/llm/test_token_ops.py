@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -18,6 +19,7 @@ from .conftest import AWKWARD
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 WORDS = P.path("word_bpe_49k.json")
+SPECIAL = ["<|endoftext|> x", "a b<|endoftext|>c, <|startoftext|><|endoftext|>", "<|ENDOFTEXT|> y", "<|endof text|>", "x <|endoftext|>"]
 ALPHABET = ("aábc étiΣςσİıΩ' the  \x1c\x85\n\t\x0b\r 日本語한국ñ🙂é́̈123①²!?.,;<>|‍﻿\U0001F1EB　'sǅßŉक़")
 
 
@@ -28,9 +30,7 @@ def random_texts(n, seed):
 
 @pytest.fixture(scope="module")
 def words():
-    t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(WORDS)
 
 
 @pytest.mark.parametrize("file", ["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"])
@@ -58,12 +58,30 @@ def test_bpe_rows(awkward):
 def test_chunk_tokenizer_equals_library(spark, small, words, monkeypatch):
     monkeypatch.setattr("ledgerscope.llm.tokens.GENERATION", 500)
     ours = ChunkTokenizer(WORDS, 4)
-    texts = random_texts(4000, 6) + ["<|endoftext|> x", "don't DON'T 's,", "x" * 3000, ", , ,,"]
+    texts = random_texts(4000, 6) + [*SPECIAL, "don't DON'T 's,", "x" * 3000, ", , ,,"]
     texts += [r.text for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect()]
     for t in texts:
         assert np.frombuffer(ours.encode(t), "<u4").tolist() == words.encode(t, add_special_tokens=False).ids
 
 
+def test_special_tokens_follow_the_librarys_default(docs_of, words, tmp_path, spark):
+    pairs = list(enumerate([*SPECIAL, "plain text", None]))
+    ours = ChunkTokenizer(WORDS, 2)
+    ids, ends = ours.encode_column(pa.array([t for _, t in pairs]))
+    want = [words.encode(t or "", add_special_tokens=False).ids for _, t in pairs]
+    assert ids.tolist() == sum(want, []) and ends.tolist() == np.cumsum(list(map(len, want))).tolist()
+    assert 49407 in want[0] and 49407 not in want[2]
+    check_pieces(packing.pack_documents(docs_of(pairs), WORDS, 64).collect(), pairs, words, 64)
+    rans.write_files(docs_of(pairs), f"{tmp_path}/f", WORDS)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rans.read_files(spark, f"{tmp_path}/f").collect()}
+    assert got == {i: w + [1] for i, w in enumerate(want)}
+    plain = ChunkTokenizer(WORDS, 4, special_as_text=True)
+    text = Tokenizer.from_file(WORDS)
+    text.encode_special_tokens = True
+    for t in SPECIAL:
+        assert np.frombuffer(plain.encode(t), "<u4").tolist() == text.encode(t, add_special_tokens=False).ids
+
+
 def brute_cost(places, penalties, window):
     best = {0: 0}
     for p, c in zip(places, penalties):
