@@ -1,12 +1,13 @@
 """Scale-oriented operators against brute force on small inputs."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerscope.functions.keys import dense_surrogate_key
 from ledgerscope.functions.selection import portable_hash, smallest_k
-from ledgerscope.ml.smote import exact_knn, smote_with_provenance
+from ledgerscope.ml.smote import _ask, exact_knn, smote, synthetic_rows
 from ledgerscope.operators import metrics
 from ledgerscope.plans.ml_plans import stratified_split, split_test_counts
 
@@ -60,6 +61,35 @@ def test_exact_knn_equals_brute_force(spark):
     want = np.sort(d2, axis=1)[:, :5]
     for i in range(len(x)):
         assert np.allclose([nb[i + 1][k] for k in range(1, 6)], want[i], atol=1e-9)
+    # equal distances go by id, as one sort of all pairs would have it
+    order = {i: [j + 1 for j in np.lexsort((np.arange(len(x)), d2[i]))[:5]] for i in range(len(x))}
+    rows = {}
+    for r in got.collect():
+        rows.setdefault(r.transaction_id, {})[r.nrank] = r.nbr
+    assert all([rows[i + 1][k] for k in range(1, 6)] == order[i] for i in range(len(x)))
+
+
+def test_few_groups_are_asked(spark):
+    """50,000 rows: a row asks under one in twenty groups, and the answers are exact."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 6)) * 40
+    x = centres[rng.integers(0, 60, 50_000)] + rng.normal(size=(50_000, 6))
+    cols = [f"f{i}" for i in range(6)]
+    frame = spark.createDataFrame(pd.DataFrame(x, columns=cols).assign(transaction_id=np.arange(50_000)))
+    stage, member, groups = _ask(frame, cols, "transaction_id", 5, 42, 1024)
+    asked = stage.where("grp >= 0").count()
+    assert groups > 40 and asked < 0.05 * groups * 50_000
+    assert member.groupBy("grp").count().agg({"count": "max"}).first()[0] <= 3 * 1024
+    got = exact_knn(frame, cols, "transaction_id", 5, 42).where("transaction_id % 1000 = 7").collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.transaction_id, {})[r.nrank] = (r.nbr, r.dist)
+    assert len(by) == 50
+    for i, own in by.items():
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        best = np.lexsort((np.arange(50_000), d))[:5]
+        assert [own[k][0] for k in range(1, 6)] == best.tolist()
 
 
 def test_smote_balances_and_interpolates(spark):
@@ -67,12 +97,20 @@ def test_smote_balances_and_interpolates(spark):
     legit = spark.createDataFrame([(1000 + i, 0.0, 0.0, 0.0, 0.0, 0) for i in range(200)],
                                   ["transaction_id", *cols, "label"])
     train = df.unionByName(legit)
-    syn = smote_with_provenance(train, cols, "label", "transaction_id", 5, 42, block_rows=16)
+    syn = synthetic_rows(train, cols, "label", "transaction_id", 5, 42, block_rows=16)
     assert syn.count() == 200 - 60
+    whole = smote(train.withColumn("other", F.lit("o")), cols, "label", "transaction_id", 5, 42, block_rows=16)
+    counts = {(r.label, r.synthetic): r["count"] for r in whole.groupBy("label", "synthetic").count().collect()}
+    assert counts == {(0, False): 200, (1, False): 60, (1, True): 140}
+    added = whole.where("synthetic")
+    assert sorted(map(tuple, added.select("transaction_id", *cols).collect())) == sorted(
+        map(tuple, syn.select("transaction_id", *cols).collect()))
+    assert added.where("other IS NULL AND transaction_id < 0").count() == 140
+    assert whole.select("transaction_id").distinct().count() == 400
     knn = {(r.transaction_id, r.nbr) for r in
            exact_knn(df, cols, "transaction_id", 5, 42, block_rows=16).collect()}
     for r in syn.collect():
-        assert (r.src, r.nbr) in knn and 0.0 <= r._u < 1.0
+        assert r.transaction_id < 0 and (r.src, r.nbr) in knn and 0.0 <= r._u < 1.0
         a, b = x[r.src - 1], x[r.nbr - 1]
         assert np.allclose([r[c] for c in cols], a + r._u * (b - a))
 
