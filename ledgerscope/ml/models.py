@@ -5,20 +5,26 @@ and permutation importance (M16)."""
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import dense_surrogate_key
+from ..functions.permute import permuted, round_keys
 from ..operators import dashboard as dash
 from ..operators import metrics
+from ..session import reliable_checkpoint
 
 VEC = "features_vec"
 SCALED = "features_scaled"
+SAMPLE_SCALED = "features_sample_scaled"
 
 
 @dataclass
@@ -27,6 +33,15 @@ class ModelSpec:
     pipeline: Pipeline
 
 
+def standard_scale(d: int, n_rows: int) -> list:
+    """M6: stages that take the mean off and divide by the population deviation, as
+    scikit-learn does. Spark divides by the sample deviation, larger by one factor for all
+    features, which a last stage takes back; a feature without spread becomes 0."""
+    factor = math.sqrt(n_rows / (n_rows - 1)) if n_rows > 1 else 1.0
+    return [StandardScaler(inputCol=VEC, outputCol=SAMPLE_SCALED, withMean=True, withStd=True),
+            ElementwiseProduct(inputCol=SAMPLE_SCALED, outputCol=SCALED, scalingVec=Vectors.dense([factor] * d))]
+
+
 def lr_pipeline(features: list[str], n_rows: int, C: float = 0.1,
                 weight_col: str | None = None) -> ModelSpec:
     """M6 + M7: standardize (fitted on training rows only), then L2 logistic
@@ -38,7 +53,7 @@ def lr_pipeline(features: list[str], n_rows: int, C: float = 0.1,
     if weight_col:
         lr.setWeightCol(weight_col)
     stages = [VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="keep"),
-              StandardScaler(inputCol=VEC, outputCol=SCALED, withMean=True, withStd=True), lr]
+              *standard_scale(len(features), n_rows), lr]
     return ModelSpec("Logistic Regression", Pipeline(stages=stages))
 
 
@@ -73,12 +88,11 @@ def evaluate(model: PipelineModel, test: DataFrame, features: list[str]) -> dict
     """ROC-AUC, PR-AUC (step-sum average precision), confusion cells."""
     scored = score(test, model, features, keep=["label"]).select(
         "label", F.col("fraud_probability").alias("score"), "prediction")
-    scored = scored.cache()
+    scored = reliable_checkpoint(scored)
     auc = metrics.roc_auc(scored).first()[0]
     ap = metrics.average_precision(scored).first()[0]
     cm = {(r["actual"], r["predicted"]): r["count"] for r in
           metrics.confusion_matrix(scored, "label", "prediction").collect()}
-    scored.unpersist()
     return {"roc_auc": auc, "pr_auc": ap,
             "tn": cm.get((0, 0), 0), "fp": cm.get((0, 1), 0),
             "fn": cm.get((1, 0), 0), "tp": cm.get((1, 1), 0)}
@@ -124,59 +138,65 @@ def load_artifact(path: str) -> tuple[PipelineModel, dict]:
     return PipelineModel.load(f"{path}/pipeline"), meta
 
 
-def permutation_importance(model: PipelineModel, test: DataFrame, features: list[str],
-                           n_repeats: int = 10, seed: int = 42, bucket_rows: int = 4096
-                           ) -> DataFrame:
-    """Mean drop of average precision when one feature's values are
-    permuted across rows, over ``n_repeats`` permutations.
-
-    One job for all (feature, repeat) pairs: rows are replicated per pair,
-    the feature's values are permuted inside random buckets of about
-    ``bucket_rows`` rows (a cyclic shift in hash order, so every value moves
-    to another row of the same random bucket), the vector is rebuilt and the
-    fitted stages after the assembler score it; AP is then computed per pair.
-    """
-    n = test.count()
-    nb = max(1, n // bucket_rows)
+def permuted_precision(test: DataFrame, features: list[str], score, n_repeats: int = 10, seed: int = 42,
+                       key: str = "transaction_id") -> DataFrame:
+    """(fi, rep, ap): the average precision after the values of feature ``fi`` went to other
+    rows by permutation ``rep``. ``score`` makes a column ``score`` from the features.
+
+    Rows are numbered densely, and a keyed bijection of the numbers (functions.permute)
+    is the permutation, one over all rows at every size. A row emits each of its values
+    with the number of the row it goes to; only these narrow rows are exchanged, and the
+    receiving row is scored once per (feature, repeat) where it is."""
+    numbered = reliable_checkpoint(dense_surrogate_key(
+        test.select(key, "label", *features), [key], "_row", start=0))
+    n = numbered.count()
     d = len(features)
-    base = test.select("transaction_id", "label",
-                       F.array(*[F.col(f).cast("double") for f in features]).alias("_x"))
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), F.lit(r).alias("rep"))
-                                for i in range(d) for r in range(n_repeats)]))
-    rep = base.select("*", pairs.alias("_p")).select("transaction_id", "label", "_x",
-                                                     "_p.fi", "_p.rep")
-    h = F.xxhash64("transaction_id", "fi", "rep", F.lit(seed))
-    rep = rep.withColumn("_b", F.pmod(h, F.lit(nb))).withColumn("_o", h)
-    w = Window.partitionBy("fi", "rep", "_b").orderBy("_o", "transaction_id")
-    wall = Window.partitionBy("fi", "rep", "_b")
-    val = F.element_at("_x", F.col("fi") + 1)
-    nxt = F.coalesce(F.lead(val).over(w), F.first(val).over(
-        wall.orderBy("_o", "transaction_id").rowsBetween(Window.unboundedPreceding,
-                                                         Window.unboundedFollowing)))
-    rep = rep.withColumn("_v", nxt)
-    permuted = rep.select(
-        "fi", "rep", "label",
-        array_to_vector(F.transform("_x", lambda x, i: F.when(i == F.col("fi"), F.col("_v"))
-                                    .otherwise(x))).alias(VEC))
-    tail = PipelineModel(stages=model.stages[1:])
-    scored = tail.transform(permuted).select("fi", "rep", "label",
-                                             vector_to_array("probability")[1].alias("score"))
-    counts = scored.groupBy("fi", "rep", "score").agg(
-        F.count(F.when(F.col("label") == 1, 1)).alias("pos"),
-        F.count(F.when(F.col("label") == 0, 1)).alias("neg"))
-    desc = (Window.partitionBy("fi", "rep").orderBy(F.desc("score"))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy("fi", "rep")
-    cum = counts.select("fi", "rep", "pos", F.sum("pos").over(desc).alias("tp"),
-                        F.sum("neg").over(desc).alias("fp"),
-                        F.sum("pos").over(whole).alias("P"))
-    ap = cum.groupBy("fi", "rep").agg(F.sum(
-        (F.col("pos") / F.col("P")) * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("ap"))
-    base_ap = metrics.average_precision(
-        score(test, model, features, keep=["label"]).select(
-            "label", F.col("fraud_probability").alias("score"))).first()[0] or 0.0
+    pairs = [(f, r) for f in range(d) for r in range(n_repeats)]
+    moves = F.explode(F.array(*[F.struct(
+        F.lit(i).alias("which"), F.col(features[f]).alias("value"),
+        permuted(F.col("_row"), n, [F.lit(k).cast("long") for k in round_keys(seed, i)]).alias("to"))
+        for i, (f, r) in enumerate(pairs)]))
+    sent = numbered.select(moves.alias("m")).select("m.to", "m.which", "m.value")
+    got = sent.groupBy("to").agg(F.collect_list(F.struct("which", "value")).alias("_new"))  # features x repeats
+    rows = numbered.join(got, numbered["_row"] == got["to"]).select("label", *features, F.explode("_new").alias("_m"))
+    which, value = F.col("_m.which"), F.col("_m.value")
+    fi = F.floor(which / n_repeats).cast("int")
+    changed = rows.select(fi.alias("fi"), (which % n_repeats).alias("rep"), "label", *[
+        F.when(fi == i, value).otherwise(F.col(f)).alias(f) for i, f in enumerate(features)])
+    counts = score(changed).groupBy("fi", "rep", "score").agg(
+        F.count(F.when(F.col("label") == 1, 1)).alias("pos"), F.count(F.when(F.col("label") == 0, 1)).alias("neg"))
+    return metrics.average_precision_by(counts, ["fi", "rep"])
+
+
+def importance_table(ap: DataFrame, base_ap: float, features: list[str]) -> DataFrame:
+    """Mean and deviation of the drop of average precision per feature, largest first."""
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("fi") + 1)
-    return (ap.groupBy("fi").agg(F.mean(F.lit(base_ap) - F.col("ap")).alias("importance_mean"),
-                                 F.stddev_pop(F.lit(base_ap) - F.col("ap")).alias("importance_std"))
+    drop = F.lit(base_ap) - F.col("average_precision")
+    return (ap.groupBy("fi").agg(F.mean(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
             .select(names.alias("feature"), "importance_mean", "importance_std")
             .orderBy(F.desc("importance_mean"), "feature"))
+
+
+def permutation_importance(model: PipelineModel, test: DataFrame, features: list[str],
+                           n_repeats: int = 10, seed: int = 42) -> DataFrame:
+    """Mean drop of a model's average precision when one feature's values are
+    permuted across rows, over ``n_repeats`` permutations."""
+    def by_model(rows):
+        return model.transform(rows).select("fi", "rep", "label", probability(rows).alias("score"))
+
+    base = metrics.average_precision(score(test, model, features, keep=["label"]).select(
+        "label", F.col("fraud_probability").alias("score"))).first()[0] or 0.0
+    return importance_table(permuted_precision(test, features, by_model, n_repeats, seed), base, features)
+
+
+def model_reports(fitted: dict[str, PipelineModel], test: DataFrame, features: list[str], kind: str,
+                  threshold: float = 0.5) -> DataFrame:
+    """M12, M14 or M15 of every model: ``kind`` is report, roc or pr."""
+    out = None
+    for name, model in sorted(fitted.items()):
+        scored = score(test, model, features, threshold, keep=["label"]).withColumnRenamed("fraud_probability", "score")
+        one = {"report": lambda s: metrics.classification_report(s, "label", "prediction"),
+               "roc": metrics.roc_curve, "pr": metrics.pr_curve}[kind](scored)
+        one = one.select(F.lit(name).alias("model"), *one.columns)
+        out = one if out is None else out.unionByName(one)
+    return out

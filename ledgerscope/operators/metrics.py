@@ -55,6 +55,13 @@ def average_precision(scored: DataFrame, score: str = "score",
     return cum.agg(F.round(F.sum(term), METRIC_DIGITS).alias("average_precision"))
 
 
+def average_precision_by(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """M11 per group, from counts (keys, score, pos, neg): one scan for all groups."""
+    cum = prefix_scan(counts, keys, score_digits("score"), ["score"], {"pos": "tp", "neg": "fp"}, descending=True)
+    term = F.col("pos").cast("double") * safe_div("tp", F.col("tp") + F.col("fp"))
+    return cum.groupBy(*keys).agg(F.round(safe_div(F.sum(term), F.sum("pos")), METRIC_DIGITS).alias("average_precision"))
+
+
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, and the start point
     (0, 0), whose threshold is above all scores and given as null."""

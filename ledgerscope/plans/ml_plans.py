@@ -38,9 +38,8 @@ def case_control_sample(features: DataFrame, n_legit: int = N_LEGIT,
 def feature_matrix(sample: DataFrame) -> DataFrame:
     """M2/M3: fifteen features and five type dummies as DOUBLE with NULL ->
     0, and the integer label."""
-    out = dash.align_features(sample, FEATURE_COLS + TYPE_DUMMIES, keep=["transaction_id"])
-    labels = sample.select("transaction_id", F.col("is_fraud").cast("int").alias("label"))
-    return out.join(labels, "transaction_id")
+    labelled = sample.withColumn("label", F.col("is_fraud").cast("int"))
+    return dash.align_features(labelled, FEATURE_COLS + TYPE_DUMMIES, keep=["transaction_id", "label"])
 
 
 def split_test_counts(sizes: dict, test_size: str = TEST_SIZE) -> dict:
@@ -114,6 +113,10 @@ def register_all(register, pct_sql) -> None:
     def _m1(L):
         return case_control_sample(L.ml_features)
 
+    @register("case_control_1000", "M1", extra_ctes=_sample_sql(1000), sql="SELECT * FROM sample")
+    def _m1_drawn(L):
+        return case_control_sample(L.ml_features, 1000)
+
     @register("case_control_counts", "M1", extra_ctes=_sample_sql(), sql=f"""
 SELECT is_fraud, COUNT(*) AS rows, {pct_sql('COUNT(*)', 'SUM(COUNT(*)) OVER ()', 4)} AS pct
 FROM sample GROUP BY is_fraud""")
