@@ -39,6 +39,8 @@ FACTOR = 19
 ORDERED = 1 << 16
 OFTEN_IN_BATCH = 4
 EXTRA = 40
+#: Bytes of text for each candidate record, about.
+RECORD_BYTES = 20
 SETS = "sid long, key binary, n int, codes binary, large int"
 
 
@@ -128,7 +130,9 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
                       text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     spark = docs.sparkSession
-    parts = parts_for(spark, text_bytes(docs, text_col))
+    release(spark)
+    total = text_bytes(docs, text_col)
+    parts = parts_for(spark, total)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = scratch_path(spark, f"ngram-join-{uuid.uuid4().hex}")
     _classes(texts, size).write.parquet(f"{base}/classes")
@@ -139,6 +143,7 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
     frequent = [r["word"] for r in reversed(often)]  # at most ORDERED words
 
     _records(texts, size, factor, frequent).write.parquet(f"{base}/records")
+    release(spark)
     classes = rows.filter("key IS NOT NULL").groupBy("key", "sid", "n").agg(F.min("doc_id").alias("rep"))
     # a partner has at least (factor - 1) / (factor + 1) times the grams
     needs = classes.select("sid", F.expr(
@@ -146,7 +151,7 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
     ).alias("need"))
     members = reliable_checkpoint(setlink.worth_joining(
         reliable_checkpoint(setlink.blocks_of(
-            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/records"), needs)))),
+            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/records"), total // RECORD_BYTES, needs)))),
         classes.select("sid", "n"), factor))
     drop_table(spark, f"{base}/records")
     release(spark)

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from . import setlink
 from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
                      text_bytes)
+from .frequent import with_repeated
 from .shingles import SPACES, gram_hashes, mix, slices
 
 GRAM = 5
@@ -60,6 +61,8 @@ SHIFT_WORDS, GAP_WORDS = 8, 50
 COPY_WORDS, ANCHOR = 50, 16
 #: Windows of larger tables are joined in so many rounds, to bound the disk of one exchange.
 ROUNDS, ROUNDS_FROM = 4, 64 << 20
+#: Bytes of text for each band record, and for each anchor, about.
+BAND_BYTES, ANCHOR_BYTES = 30, 100
 
 UNITS = "doc_id long, at long, words int, start long, length long, sid long, key long, grams int"
 _SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0x24093822299F31D0)]
@@ -224,7 +227,8 @@ def _copied_runs(texts: DataFrame, base: str, rounds: int = 1) -> DataFrame:
     which other documents their parts occur; no pairs of documents are formed."""
     spark = texts.sparkSession
     _anchors(texts).write.option("compression", "zstd").parquet(f"{base}/anchors")
-    anchors = spark.read.parquet(f"{base}/anchors")
+    anchors = reliable_checkpoint(with_repeated(
+        spark.read.parquet(f"{base}/anchors"), "anchor", text_bytes(texts) // ANCHOR_BYTES))
     repeated = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                 .filter("a < b").select("anchor"))
     wanted = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
@@ -338,7 +342,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     _bands(texts).write.option("compression", "zstd").parquet(f"{base}/bands")
     members = reliable_checkpoint(setlink.worth_joining(
         reliable_checkpoint(setlink.blocks_of(
-            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/bands"))))),
+            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/bands"), size // BAND_BYTES)))),
         classes.select("sid", F.col("grams").alias("n")), FACTOR))
     drop_table(spark, f"{base}/bands")
     release(spark)

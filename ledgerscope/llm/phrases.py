@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_table, read_table, release, reliable_checkpoint, scratch_path, text_bytes
+from .frequent import FILTER_BITS, RUNS, bitmap, bucket_bits, frequent_hashes, runs_of, set_in
 from .shingles import mix, slices
 
 MAX_WORDS = 4
@@ -47,11 +48,9 @@ TOP = 2000
 SCORE_UNIT = 2_000_000
 #: A phrase goes if an extension has this share of its count, in percent.
 ABSORBED = 80
-#: Bits of the bitmap of frequent hashes (16 MB), and rows of a stream's partition.
-FILTER_BITS = 27
+#: Rows of a stream's partition, and bytes of text worked on at once.
 STREAM_ROWS = 400_000
-#: Bytes of text worked on at once, and those whose hashes one task adds up.
-SLICE_BYTES, COUNT_BYTES = 4 << 20, 4 << 20
+SLICE_BYTES = 4 << 20
 
 BREAK = r"[.,;:!?\x0A-\x0D]"
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -100,71 +99,25 @@ class Slice:
         return self.left[:max(0, len(self.code) - size + 1)] >= size
 
 
-def _runs(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """Consecutive parts of an array as binary values, without copying."""
-    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [
-        None, pa.py_buffer((bounds * data.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
-
-
 def _frequent_hashes(texts: DataFrame, min_count: int, total_bytes: int) -> DataFrame:
-    """(hash): of phrases of one to three words that occur ``min_count`` times or more.
-    Hashes travel in sorted runs, a run per slice and bucket of the hash, and each task
-    adds up the runs of its buckets. The number of tasks follows the data's size, and no
-    hash is in a run twice, so a task's memory doesn't depend on how often words occur."""
-    parts = max(1, math.ceil(total_bytes / COUNT_BYTES))
-    bits = min(40, math.ceil(math.log2(parts)) + 4)
+    """(hash): of phrases of one to three words that occur ``min_count`` times or more."""
+    expected = total_bytes // 2  # three windows a word, and a word is some six bytes
+    bits = bucket_bits(expected)
 
     def split(batches):
         for batch in batches:
             for part in slices(batch, slice_bytes=SLICE_BYTES):
                 own = Slice(part.column(0), part.column(1))
-                found = np.concatenate([own.hashes(size)[own.inside(size)] for size in range(1, MAX_WORDS)])
-                found, times = np.unique(found, return_counts=True)
-                bucket = found >> np.uint64(63 - bits)
-                first = np.flatnonzero(np.diff(bucket, prepend=np.uint64(1 << 63)))
-                bounds = np.append(first, len(found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[first].view(np.int64)), _runs(found, bounds), _runs(times.astype(np.uint32), bounds)],
-                    ["bucket", "hashes", "times"])
-
-    def add(batches):
-        hashes, times = [], []
-        for batch in batches:
-            hashes += [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
-            times += [np.frombuffer(x, np.uint32) for x in batch.column(2).to_pylist()]
-        if hashes:
-            every, n = np.concatenate(hashes), np.concatenate(times)
-            order = np.argsort(every)
-            every, n = every[order], n[order].astype(np.int64)
-            first = np.flatnonzero(np.diff(every, prepend=~every[:1]))
-            often = np.add.reduceat(n, first) >= min_count
-            yield pa.RecordBatch.from_arrays([pa.array(every[first[often]].view(np.int64))], ["hash"])
-
-    return (texts.mapInArrow(split, "bucket long, hashes binary, times binary").repartition(parts, "bucket")
-            .mapInArrow(add, "hash long"))
-
-
-def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
-    """Which of 2^bits places frequent hashes have, as bytes; fixed in size."""
-    place = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
-    cells = (hashes.select(F.shiftright(place, 6).cast("int").alias("cell"),
-                           F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-             .groupBy("cell").agg(F.bit_or("bit").alias("word")).toArrow())
-    out = np.zeros(1 << (bits - 6), np.int64)
-    out[cells.column("cell").to_numpy()] = cells.column("word").to_numpy()
-    return out.astype("<i8").view(np.uint8)
-
+                yield runs_of(np.concatenate([own.hashes(size)[own.inside(size)] for size in range(1, MAX_WORDS)]), bits)
 
-def _set_in(bitmap: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64((1 << bits) - 1)
-    return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return frequent_hashes(texts.mapInArrow(split, RUNS), expected, min_count)
 
 
-def _phrase_counts(texts: DataFrame, bitmap, bits: int) -> DataFrame:
+def _phrase_counts(texts: DataFrame, held_bits) -> DataFrame:
     """(lang, words, times): per slice its phrases whose parts may all be frequent, and
     the number of all words as an empty phrase."""
     def run(batches):
-        held = bitmap.value
+        held = held_bits.value
         for batch in batches:
             for part in slices(batch, slice_bytes=SLICE_BYTES):
                 own = Slice(part.column(0), part.column(1))
@@ -177,7 +130,7 @@ def _phrase_counts(texts: DataFrame, bitmap, bits: int) -> DataFrame:
                 for size in range(1, MAX_WORDS + 1):
                     good = own.inside(size)
                     if size < MAX_WORDS:
-                        good &= _set_in(held, bits, own.hashes(size))
+                        good &= set_in(held, own.hashes(size))
                     if size > 1:
                         good &= may[:len(good)] & may[1:len(good) + 1]
                         # the phrase without its last word, and that word
@@ -268,8 +221,8 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, te
 
     _frequent_hashes(texts, min_count, text_bytes(docs, text_col)).write.parquet(f"{base}/often")
     release(spark)
-    bitmap = spark.sparkContext.broadcast(_bitmap(spark.read.parquet(f"{base}/often"), filter_bits))
-    (_phrase_counts(texts, bitmap, filter_bits).groupBy("lang", "words").agg(F.sum("times").alias("a"))
+    held_bits = spark.sparkContext.broadcast(bitmap(spark.read.parquet(f"{base}/often"), filter_bits))
+    (_phrase_counts(texts, held_bits).groupBy("lang", "words").agg(F.sum("times").alias("a"))
      .filter((F.col("a") >= min_count) | (F.size("words") == 0)).write.parquet(f"{base}/counts"))
     release(spark)
     both = spark.read.parquet(f"{base}/counts")
@@ -301,7 +254,7 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, te
     totals = both.filter(F.size("words") == 0).select("lang", F.col("a").alias("n"))
     out = reliable_checkpoint(first.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
-    bitmap.destroy()
+    held_bits.destroy()
     drop_table(spark, base)
     return out
 

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import reliable_checkpoint
+from .frequent import with_repeated
 
 SMALL = 256
 CHUNK = 256
@@ -151,14 +152,16 @@ def _group_links(rows: DataFrame, parts: int, factor: int) -> DataFrame:
             .sortWithinPartitions("grp").mapInArrow(run, LINKS))
 
 
-def members_of(records: DataFrame, needs: DataFrame | None = None) -> DataFrame:
-    """(pivot, sid) from candidate records (token, sid), without tokens that only one
-    sid has; a block's pivot is one of its members. ``needs`` (sid, need): sids with
-    fewer shared tokens than they need are left out."""
+def members_of(records: DataFrame, expected: int, needs: DataFrame | None = None) -> DataFrame:
+    """(pivot, sid) from candidate records (token, sid), stored, about ``expected`` of them,
+    without tokens that only one sid has; a block's pivot is one of its members.
+    ``needs`` (sid, need): sids with fewer shared tokens than they need are left out."""
     def shared_by_two(rows):
         return (rows.groupBy("token").agg(F.min("sid").alias("pivot"), F.max("sid").alias("other"))
                 .filter("pivot <> other").select("token", "pivot"))
 
+    # most tokens are unique: they leave before anything is exchanged by token
+    records = reliable_checkpoint(with_repeated(records, "token", expected))
     if needs is not None:
         shared = reliable_checkpoint(records.join(shared_by_two(records), "token").select("token", "sid").distinct())
         enough = (shared.groupBy("sid").agg(F.count("*").alias("c")).join(needs, "sid")
