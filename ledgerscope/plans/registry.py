@@ -413,10 +413,10 @@ def _a6(L):
     return reports.risky_senders(L.sender_features)
 
 
-@register("fraud_rate_rank_by_type", "Q1", sql="""
-WITH per_type AS (
+@register("fraud_rate_rank_by_type", "Q1", extra_ctes="""
+per_type AS (
   SELECT type_id, COUNT(*) AS n, COALESCE(SUM(CAST(is_fraud AS INTEGER)), 0) AS hits FROM transactions GROUP BY type_id),
-shares AS (SELECT type_id, n, hits, CAST(hits AS DOUBLE) / n AS share FROM per_type)
+shares AS (SELECT type_id, n, hits, CAST(hits AS DOUBLE) / n AS share FROM per_type)""", sql="""
 SELECT types.type_name, x.n AS total_txns, CAST(x.hits AS BIGINT) AS fraud_txns,
        ROUND(x.share * 100, 3) AS fraud_rate_pct,
        1 + (SELECT COUNT(*) FROM shares y WHERE y.share > x.share) AS fraud_rank
