@@ -5,6 +5,8 @@ keep what they read, and a load that failed half-way is simply run again under i
 number: tables that took it in are left as they are. Types and accounts are replaced (new
 rows, touched accounts), transactions and rejected rows are appended.
 
+Transactions lie in a folder per day, so a range of hours reads its own files only.
+
 Sender features (A2) are refreshed from the new transactions only. What is stored are
 mergeable parts: count, exact sum, squared deviations, extremes, and for the distinct
 recipients bitmaps over the dense account ids.
@@ -26,7 +28,12 @@ from ..sources.versions import PublishedTable
 #: Exact products of a sum and a count: sums below 10^22, counts below 10^12.
 SUM_EXACT, COUNT_EXACT = "decimal(24,2)", "decimal(12,0)"
 
-MOMENTS = ["sender_id", "n", "total", "m2", "max_amount", "min_amount", "fraud_count", "first_step", "last_step"]
+#: Hours whose transactions lie in one folder.
+DAY = 24
+
+
+def day_of(step: str):
+    return F.floor(F.col(step) / DAY).cast("int")
 
 
 def moments(transactions: DataFrame) -> DataFrame:
@@ -83,7 +90,7 @@ class Warehouse:
         self.spark, self.path = spark, path.rstrip("/")
         names = ("types", "accounts", "transactions", "rejected", "moments", "recipients")
         self.types, self.accounts, self.transactions, self.rejected, self.moments, self.recipients = (
-            PublishedTable(spark, f"{self.path}/{n}") for n in names)
+            PublishedTable(spark, f"{self.path}/{n}", partitioned=n == "transactions") for n in names)
 
     def load(self, staging: DataFrame, as_of: datetime | None = None, batch: int | None = None) -> int:
         """Take in one load; the number it has. ON CONFLICT DO NOTHING throughout: known
@@ -100,10 +107,18 @@ class Warehouse:
             self.accounts.replace(ingest.merge_accounts(valid, known, as_of), batch)
         if not self.transactions.took(batch):
             there = self.transactions.read() if self.transactions.exists() else None
-            self.transactions.append(ingest.promote_transactions(
-                valid, measured(self.types.read()), self.accounts.read(), as_of, existing=there), batch)
+            rows = ingest.promote_transactions(
+                valid, measured(self.types.read()), self.accounts.read(), as_of, existing=there)
+            # by ranges, so that a busy day spreads over several tasks and files
+            dealt = rows.withColumn("day", day_of("step")).repartitionByRange("day", "transaction_id")
+            self.transactions.append(dealt, batch, shape=lambda w: w.partitionBy("day"))
         return batch
 
+    def between(self, first_step: int, last_step: int) -> DataFrame:
+        """Transactions of some hours; files of other days aren't opened."""
+        days = F.col("day").between(first_step // DAY, last_step // DAY)
+        return self.transactions.read().where(days & F.col("step").between(first_step, last_step))
+
     def with_refs(self) -> DataFrame:
         """Transactions with the refs of their accounts."""
         accounts, out = self.accounts.read(), self.transactions.read()

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -24,8 +25,9 @@ MANIFESTS = "_manifests"
 class PublishedTable:
     """A versioned Parquet table in shared storage."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType | str | None = None):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: StructType | str | None = None,
+                 partitioned: bool = False):
+        self.spark, self.path, self.schema, self.partitioned = spark, path.rstrip("/"), schema, partitioned
 
     def _fs(self, path: str):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -69,6 +71,8 @@ class PublishedTable:
                 raise FileNotFoundError(f"{self.path} has no published version")
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        if self.partitioned:  # every data folder has partition folders of its own
+            return reduce(DataFrame.unionByName, [reader.parquet(f"{self.path}/{f}") for f in folders])
         return reader.parquet(*[f"{self.path}/{f}" for f in folders])
 
     def took(self, batch: int | None) -> bool:
@@ -91,11 +95,17 @@ class PublishedTable:
         folder = f"data-{number:012d}-{uuid.uuid4().hex}"
         writer = df.write if shape is None else shape(df.write)
         writer.parquet(f"{self.path}/{folder}")
+        new = [folder] if not self.partitioned or self._has_parts(folder) else []
         self._publish(number, {
-            "version": number, "folders": [*(now["folders"] if keep else []), folder],
+            "version": number, "folders": [*(now["folders"] if keep else []), *new],
             "batch": now["batch"] if batch is None else batch, "note": {**now["note"], **(note or {})}})
         return True
 
+    def _has_parts(self, folder: str) -> bool:
+        """Whether a partitioned write has left any rows; without, it leaves no schema."""
+        fs, target = self._fs(f"{self.path}/{folder}")
+        return any(s.isDirectory() for s in fs.listStatus(target))
+
     def _publish(self, number: int, manifest: dict) -> None:
         fs, target = self._fs(f"{self.path}/{MANIFESTS}/{number:012d}.json")
         stream = fs.create(target, False)  # fails if this version was published meanwhile

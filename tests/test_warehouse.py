@@ -159,3 +159,18 @@ def test_amounts_at_the_limit(spark):
     for amount, good in cases.items():
         valid, parked = ingest.validate_constraints(base.withColumn("amount", F.lit(Decimal(amount)).cast("decimal(38,6)")))
         assert valid.count() == int(good) and parked.count() == int(not good), amount
+
+
+def test_hours_read_their_own_files(spark, layers, tmp_path):
+    w = Warehouse(spark, f"{tmp_path}/w")
+    w.load(layers.staging.where("step < 400"))
+    w.load(layers.staging.where("step < 400"))  # nothing new
+    w.load(layers.staging)
+    whole, part = w.transactions.read(), w.between(100, 130)
+    assert rows(part, "transaction_id") == rows(layers.transactions.where("step BETWEEN 100 AND 130"), "transaction_id")
+    scan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scan and "day#" in scan.split("PartitionFilters")[1]
+    days = {r.day for r in part.select("day").distinct().collect()}
+    read = {f for f in part.select(F.input_file_name().alias("f")).distinct().toPandas()["f"]}
+    assert days <= {4, 5} and 0 < len(read) < len(whole.inputFiles()) / 5
+    assert whole.count() == 1000
