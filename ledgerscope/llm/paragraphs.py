@@ -19,7 +19,10 @@ common. Its two ends are cut differently, so it is longer than what is found of
 
 Exact copies don't depend on paragraphs: every run of ``COPY_WORDS`` words that a
 document of a lower identifier has is found by itself, to its first and last word and
-across lines (``_copied_runs``). Paragraphs inside such runs are not reported again.
+across lines (``_copied_runs``). Nor do near copies of ``COPY_WORDS`` words or more:
+every 25 words in a row are a paragraph with a band of its own (``near_copies``), colliding
+ones are verified by exact Jaccard and reported from their first to their last common
+word. Paragraphs inside such copies are not reported again.
 
 Defined results: null, empty and one-line texts without repeats are left alone, and so
 are rows without identifier and repeats within one document; repeated rows with
@@ -39,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import setlink
+from . import near_copies, setlink
 from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
                      text_bytes)
 from .frequent import with_repeated
@@ -180,7 +183,8 @@ class Windows:
 
 
 def _anchors(docs: DataFrame) -> DataFrame:
-    """(anchor, doc_id): the distinct anchors of each text's windows."""
+    """(anchor, doc_id, at): the distinct anchors of each text's windows, at -1, and
+    the seeds of near copies with their places."""
     def run(batches):
         for batch in batches:
             for part in slices(batch):
@@ -188,10 +192,16 @@ def _anchors(docs: DataFrame) -> DataFrame:
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 change = np.ones(len(windows.first), bool)
                 change[1:] = (windows.anchor[1:] != windows.anchor[:-1]) | (windows.text[1:] != windows.text[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(windows.anchor[change]),
-                                                  pa.array(ids[windows.text[change]], pa.int64())], ["anchor", "doc_id"])
+                anchors, base = windows.anchor[change], windows.units.base
+                place, seeds = near_copies.seeds(windows.units.words, base)
+                text = np.searchsorted(base, place, "right") - 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate((anchors, seeds))),
+                    pa.array(ids[np.concatenate((windows.text[change], text))], pa.int64()),
+                    pa.array(np.concatenate((np.full(len(anchors), -1), place - base[text])), pa.int64())],
+                    ["anchor", "doc_id", "at"])
 
-    return docs.mapInArrow(run, "anchor long, doc_id long")
+    return docs.mapInArrow(run, "anchor long, doc_id long, at long")
 
 
 COPIES = "doc_id long, at int, start int, stop int, keep_doc_id long, keep_at int"
@@ -228,13 +238,13 @@ def _copied_runs(texts: DataFrame, base: str, rounds: int = 1) -> DataFrame:
     spark = texts.sparkSession
     _anchors(texts).write.option("compression", "zstd").parquet(f"{base}/anchors")
     anchors = reliable_checkpoint(with_repeated(
-        spark.read.parquet(f"{base}/anchors"), "anchor", text_bytes(texts) // ANCHOR_BYTES))
+        spark.read.parquet(f"{base}/anchors").filter("at < 0").select("anchor", "doc_id"), "anchor",
+        text_bytes(texts) // ANCHOR_BYTES))
     repeated = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                 .filter("a < b").select("anchor"))
     wanted = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
     (_windows(texts.join(wanted, "doc_id")).withColumn("round", F.pmod(F.xxhash64("hash", "anchor"), F.lit(rounds)).cast("int"))
      .write.partitionBy("round").option("compression", "zstd").parquet(f"{base}/windows"))
-    drop_table(spark, f"{base}/anchors")
     release(spark)
     for k in range(rounds):
         windows = (spark.read.schema(f"{WINDOWS}, round int").parquet(f"{base}/windows").filter(F.col("round") == k))
@@ -331,6 +341,9 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id IS NOT NULL")
     base = scratch_path(spark, f"paragraphs-{uuid.uuid4().hex}")
     runs = _copied_runs(texts, base, ROUNDS if size > ROUNDS_FROM else 1)
+    seeds = spark.read.parquet(f"{base}/anchors").filter("at >= 0").select(F.col("anchor").alias("token"), "doc_id", "at")
+    runs = runs.unionByName(near_copies.near_copies(texts, seeds, runs, size, base, Units))
+    drop_table(spark, f"{base}/anchors")
     _units(texts).write.option("compression", "zstd").parquet(f"{base}/units")
     units = spark.read.parquet(f"{base}/units")
     (units.groupBy("sid", "key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"),
