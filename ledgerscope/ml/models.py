@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import dense_surrogate_key
-from ..functions.permute import permuted, round_keys
+from ..functions.permute import ROUNDS, permuted, round_keys
 from ..operators import dashboard as dash
 from ..operators import metrics
 from ..session import reliable_checkpoint
@@ -145,24 +145,23 @@ def permuted_precision(test: DataFrame, features: list[str], score, n_repeats: i
 
     Rows are numbered densely, and a keyed bijection of the numbers (functions.permute)
     is the permutation, one over all rows at every size. A row emits each of its values
-    with the number of the row it goes to; only these narrow rows are exchanged, and the
-    receiving row is scored once per (feature, repeat) where it is."""
+    with the number of the row it goes to; these narrow rows are exchanged and merged with
+    the receiving rows in sorted order, so that no side is ever held whole. The round keys
+    are data of the rows emitted: the plan is the same for any number of permutations."""
     numbered = reliable_checkpoint(dense_surrogate_key(
         test.select(key, "label", *features), [key], "_row", start=0))
     n = numbered.count()
-    d = len(features)
-    pairs = [(f, r) for f in range(d) for r in range(n_repeats)]
-    moves = F.explode(F.array(*[F.struct(
-        F.lit(i).alias("which"), F.col(features[f]).alias("value"),
-        permuted(F.col("_row"), n, [F.lit(k).cast("long") for k in round_keys(seed, i)]).alias("to"))
-        for i, (f, r) in enumerate(pairs)]))
-    sent = numbered.select(moves.alias("m")).select("m.to", "m.which", "m.value")
-    got = sent.groupBy("to").agg(F.collect_list(F.struct("which", "value")).alias("_new"))  # features x repeats
-    rows = numbered.join(got, numbered["_row"] == got["to"]).select("label", *features, F.explode("_new").alias("_m"))
-    which, value = F.col("_m.which"), F.col("_m.value")
-    fi = F.floor(which / n_repeats).cast("int")
-    changed = rows.select(fi.alias("fi"), (which % n_repeats).alias("rep"), "label", *[
-        F.when(fi == i, value).otherwise(F.col(f)).alias(f) for i, f in enumerate(features)])
+    rounds = F.array(*[F.struct(
+        F.lit(i // n_repeats).alias("fi"), F.lit(i % n_repeats).alias("rep"),
+        *[F.lit(k).cast("long").alias(f"k{j}") for j, k in enumerate(round_keys(seed, i))])
+        for i in range(len(features) * n_repeats)])
+    emitted = numbered.select("_row", F.array(*features).alias("_x"), F.explode(rounds).alias("_m")).select("_row", "_x", "_m.*")
+    sent = emitted.select(
+        permuted(F.col("_row"), n, [F.col(f"k{j}") for j in range(ROUNDS)]).alias("_to"),
+        "fi", "rep", F.get("_x", F.col("fi")).alias("_value"))
+    rows = sent.hint("merge").join(numbered, sent["_to"] == numbered["_row"])
+    changed = rows.select("fi", "rep", "label", *[
+        F.when(F.col("fi") == i, F.col("_value")).otherwise(F.col(f)).alias(f) for i, f in enumerate(features)])
     counts = score(changed).groupBy("fi", "rep", "score").agg(
         F.count(F.when(F.col("label") == 1, 1)).alias("pos"), F.count(F.when(F.col("label") == 0, 1)).alias("neg"))
     return metrics.average_precision_by(counts, ["fi", "rep"])

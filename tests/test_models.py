@@ -165,3 +165,18 @@ def test_permutation_importance_by_hand(spark):
 def test_importance_of_a_fitted_model(frame, lr):
     out = {r.feature: r.importance_mean for r in models.permutation_importance(lr, frame, COLS, 3).collect()}
     assert out["a"] > 0.05 and out["b"] > 0.05 and abs(out["c"]) < 0.05
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_moved_values_are_merged_not_broadcast(spark, frame):
+    plan = _plan(models.permuted_precision(frame, COLS, lambda d: d.withColumn("score", F.col("a") + F.col("b")), 2))
+    assert "strategy=merge" in plan and "collect_list" not in plan
+
+
+def test_plan_does_not_grow_with_the_permutations(spark, frame):
+    plans = [_plan(models.permuted_precision(frame, COLS, lambda d: d.withColumn("score", F.col("a") + F.col("b")), r))
+             for r in (1, 8)]
+    assert plans[0].count("aggregate(") == plans[1].count("aggregate(") > 0
