@@ -11,6 +11,9 @@ from ..functions.scans import amount_digits, id_digit, prefix_scan
 from ..schemas import SUM_MONEY
 from ..session import broadcast_if_small
 
+#: Rows of a sender whose history one task computes; larger senders are spread.
+WINDOW_ROWS = 200_000
+
 
 def v_transactions(transactions: DataFrame, types: DataFrame, accounts: DataFrame) -> DataFrame:
     """A1: fact joined with its type (broadcast, size-checked) and with the
@@ -89,20 +92,40 @@ def amount_ranks(transactions: DataFrame) -> DataFrame:
     return upto.select("sender_id", "amount", (F.col("_upto") - F.col("_c") + 1).alias("sender_amount_rank"))
 
 
-def ml_features(transactions: DataFrame, types: DataFrame, sender_feats: DataFrame) -> DataFrame:
+def _history_scan(rows: DataFrame) -> DataFrame:
+    """Running sum, previous amount, same-step count and amount rank of senders of any
+    size, whose rows are spread over many tasks by scans (:mod:`..functions.scans`)."""
+    scanned = prefix_scan(
+        rows, ["sender_id"], [F.col("step"), id_digit("transaction_id")], ["transaction_id"],
+        sums={"amount": "sender_cumulative_amount"}, lags={"amount": "sender_prev_amount"},
+        group_count="sender_txns_same_step")
+    return scanned.join(amount_ranks(rows), ["sender_id", "amount"])
+
+
+def _history_windows(rows: DataFrame) -> DataFrame:
+    """The same of senders with a bounded number of rows: windows after one exchange."""
+    own = Window.partitionBy("sender_id")
+    along = own.orderBy("step", "transaction_id")
+    return rows.where(F.col("sender_id").isNotNull()).select(
+        "*", F.sum("amount").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("sender_cumulative_amount"),
+        F.lag("amount").over(along).alias("sender_prev_amount"),
+        F.count(F.lit(1)).over(Window.partitionBy("sender_id", "step")).alias("sender_txns_same_step"),
+        F.rank().over(own.orderBy(F.desc("amount"))).cast("long").alias("sender_amount_rank")).where(
+        F.col("amount").isNotNull())
+
+
+def ml_features(transactions: DataFrame, types: DataFrame, sender_feats: DataFrame,
+                window_rows: int = WINDOW_ROWS) -> DataFrame:
     """A3: ``mv_ml_features``, one row per transaction.
 
-    Running sum, LAG and the same-step count are one scan of (sender, step, id) segments
-    (:mod:`..functions.scans`); rank and sender totals (A2) are joined on (sender,
-    amount). So the rows are exchanged twice, a sender with a third of all rows is spread
-    over many tasks, and ties within a step are ordered by transaction_id.
+    The history of senders with at most ``window_rows`` transactions comes from windows: one
+    exchange of the rows by sender, which the join with the sender totals (A2) shares.
+    Larger senders, of which there are few, go through scans of (sender, step, id) and
+    (sender, amount) segments, so that one with a third of all rows is spread over many
+    tasks. Ties within a step are ordered by transaction_id.
     """
-    rows = prefix_scan(
-        transactions.select("transaction_id", "step", "type_id", "amount", "sender_id", "sender_balance_pre",
-                            "sender_balance_post", "recip_balance_pre", "recip_balance_post", "is_fraud"),
-        ["sender_id"], [F.col("step"), id_digit("transaction_id")], ["transaction_id"],
-        sums={"amount": "sender_cumulative_amount"}, lags={"amount": "sender_prev_amount"},
-        group_count="sender_txns_same_step")
+    rows = transactions.select("transaction_id", "step", "type_id", "amount", "sender_id", "sender_balance_pre",
+                               "sender_balance_post", "recip_balance_pre", "recip_balance_post", "is_fraud")
     totals = sender_feats.select(
         "sender_id",
         F.col("total_txn_count").alias("sender_total_txns"),
@@ -111,8 +134,14 @@ def ml_features(transactions: DataFrame, types: DataFrame, sender_feats: DataFra
         F.col("unique_recipients").alias("sender_unique_recipients"),
         F.col("stddev_amount").alias("_std"),
     )
-    of_amount = amount_ranks(transactions).join(totals, "sender_id")
-    out = rows.join(of_amount, ["sender_id", "amount"]).join(broadcast_if_small(types), "type_id")
+    large = transactions.groupBy("sender_id").agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > window_rows).select("sender_id")  # at most rows / window_rows senders
+    if large.limit(1).count():
+        known = _history_windows(rows.join(F.broadcast(large), "sender_id", "left_anti")).unionByName(
+            _history_scan(rows.join(F.broadcast(large), "sender_id", "left_semi")))
+    else:
+        known = _history_windows(rows)
+    out = known.join(totals, "sender_id").join(broadcast_if_small(types), "type_id")
     z = F.when(F.col("_std") == 0, F.lit(0.0)).otherwise(
         (F.col("amount").cast("double") - F.col("sender_avg_amount")) / F.col("_std"))
     return out.select(

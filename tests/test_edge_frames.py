@@ -96,3 +96,13 @@ def test_equal_scores_across_classes(spark):
     assert metrics.average_precision(s).first()[0] == 0.5
     sweep = {r["threshold"]: r for r in metrics.threshold_sweep(s).collect()}
     assert sweep[0.5]["tp"] == 2 and sweep[0.51]["tp"] == 0
+
+
+def test_windows_and_scans_agree_and_windows_need_few_exchanges(spark):
+    t = txns(spark, [(i, i // 3, 1, i % 4, 1 if i < 12 else 2, i, 0, 3, 0, i, i % 5 == 0) for i in range(1, 18)]
+             + [(99, None, 1, 4, 3, 1, 0, 2, 0, 1, False)])
+    sf = feat.sender_features(t, accounts(spark))
+    found = [feat.ml_features(t, seed_types(spark), sf, w) for w in (0, 8, 100)]  # all scanned, one scanned, none
+    assert len({tuple(sorted(map(repr, f.collect()))) for f in found}) == 1 and found[0].count() == 18
+    few = feat.ml_features(t, seed_types(spark), t.sparkSession.createDataFrame(sf.collect(), sf.schema))
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2  # totals and types
