@@ -54,5 +54,8 @@ def permuted(number: Column, n: int, keys: list[Column]) -> Column:
                 right = (right + mixed(left, key, b)) % b
         return left + right * a
 
+    first = step(number.cast("long"))
     again = F.sequence(F.lit(1), F.lit(WALKS))
-    return F.aggregate(again, step(number.cast("long")), lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    # nearly every number is done at once; the walk, which Spark interprets, is for the few others
+    return F.when(first < n, first).otherwise(
+        F.aggregate(again, first, lambda x, _: F.when(x < n, x).otherwise(step(x))))
