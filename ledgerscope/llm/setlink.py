@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import reliable_checkpoint
 from .frequent import with_repeated
+from .shingles import slices
 
 SMALL = 256
 CHUNK = 256
@@ -51,7 +52,7 @@ LINKS = "a binary, b binary"
 class PrefixTree:
     """A path-compressed trie over sorted code lists, with bounds per subtree."""
 
-    __slots__ = ("segment", "held", "ends", "children", "most", "shortest", "longest")
+    __slots__ = ("segment", "ends", "children", "most", "shortest", "longest")
 
     def __init__(self, sets: list, sizes: list[int], order: list[int], depth: int = 0):
         first, last = sets[order[0]], sets[order[-1]]
@@ -59,7 +60,6 @@ class PrefixTree:
         while end < limit and first[end] == last[end]:
             end += 1
         self.segment = first[depth:end]
-        self.held = frozenset(self.segment)
         self.ends = [i for i in order if len(sets[i]) == end]
         self.most = max(sizes[i] for i in order)
         self.shortest = min(len(sets[i]) for i in order) - end
@@ -93,7 +93,7 @@ def tree_links(keys: list, sizes: list[int], sets: list[list[int]], factor: int,
         while stack:
             node, at, misses = stack.pop()
             if node.segment:
-                shared = len(whole & node.held)
+                shared = len(whole.intersection(node.segment))
                 to = bisect_right(query, node.segment[-1], at)
                 misses += len(node.segment) + to - at - 2 * shared
                 at = to
@@ -113,8 +113,28 @@ def tree_links(keys: list, sizes: list[int], sets: list[list[int]], factor: int,
     return out
 
 
+def only_shared(raw: list[bytes], sizes: list[int], factor: int) -> tuple[list[list[int]], list[int]]:
+    """Sets (codes as bytes) as ranks of the codes that stand in two of them, and their
+    sizes less ``factor`` for each other code: such a code is a mismatch with every
+    set, so ``tree_links`` finds the same links and holds the shared codes only."""
+    every = np.frombuffer(b"".join(raw), "<u8").copy()
+    every.sort()
+    shared = np.unique(every[1:][every[1:] == every[:-1]])
+    del every
+    ranks, sets, left = list(range(len(shared))), [], []
+    for x, n in zip(raw, sizes):
+        codes = np.frombuffer(x, "<u8")
+        at = np.searchsorted(shared, codes)
+        at = at[shared[np.minimum(at, len(shared) - 1)] == codes] if len(shared) else at[:0]
+        sets.append([ranks[i] for i in at])  # equal codes are one object in all sets
+        left.append(n - factor * (len(codes) - len(at)))
+    return sets, left
+
+
 #: Sides of a group's rows: all are joined with each other, or 0 with 1 only.
 WITHIN = 2
+#: Bytes of codes that are taken out of a batch at once.
+SLICE_BYTES = 2 << 20
 
 
 def _group_links(rows: DataFrame, parts: int, factor: int) -> DataFrame:
@@ -126,7 +146,9 @@ def _group_links(rows: DataFrame, parts: int, factor: int) -> DataFrame:
             two = None if sides[0] == WITHIN else sides
             if two and len(set(two)) < 2:
                 return []
-            sets = [np.frombuffer(x, "<u8").tolist() for x in raw]
+            group.clear()
+            sets, sizes = only_shared(raw, sizes, factor)
+            raw.clear()
             return [(keys[i], keys[j]) for i, j in tree_links(keys, sizes, sets, factor, two)]
 
         def emit(out):
@@ -134,12 +156,13 @@ def _group_links(rows: DataFrame, parts: int, factor: int) -> DataFrame:
 
         here, group, out = None, [], []
         for batch in batches:
-            for grp, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if grp != here:
-                    if len(group) > 1:
-                        out += links(group)
-                    here, group = grp, []
-                group.append(row)
+            for part in slices(batch, 4, SLICE_BYTES):
+                for grp, *row in zip(*(c.to_pylist() for c in part.columns)):
+                    if grp != here:
+                        if len(group) > 1:
+                            out += links(group)
+                        here, group = grp, []
+                    group.append(row)
             if out:
                 yield emit(out)
                 out = []
@@ -215,10 +238,11 @@ def _centres(own: DataFrame) -> DataFrame:
     have, so at most twice as many as a set has on average."""
     def explode(batches):
         for batch in batches:
-            codes = [np.frombuffer(x, "<i8") for x in batch.column(1).to_pylist()]
-            pivots = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(c) for c in codes])
-            yield pa.RecordBatch.from_arrays([pa.array(pivots, pa.int64()), pa.array(np.concatenate(codes))],
-                                             ["pivot", "code"])
+            for part in slices(batch, 1, SLICE_BYTES):
+                codes = [np.frombuffer(x, "<i8") for x in part.column(1).to_pylist()]
+                pivots = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(c) for c in codes])
+                yield pa.RecordBatch.from_arrays([pa.array(pivots, pa.int64()), pa.array(np.concatenate(codes))],
+                                                 ["pivot", "code"])
 
     counts = (own.select("pivot", "codes").mapInArrow(explode, "pivot long, code long")
               .groupBy("pivot", "code").agg(F.count("*").alias("c")))
@@ -230,8 +254,8 @@ def _centres(own: DataFrame) -> DataFrame:
 def _differences(rows: DataFrame) -> DataFrame:
     """Rows (pivot, key, n, codes, centre) to (pivot, key, n, d, diff)."""
     def run(batches):
-        for batch in batches:
-            pivots, keys, sizes, codes, centres = batch.columns
+        for part in (part for batch in batches for part in slices(batch, 3, SLICE_BYTES)):
+            pivots, keys, sizes, codes, centres = part.columns
             diffs, held, centre = [], None, None
             for raw, c in zip(codes.to_pylist(), centres):
                 if centre is None or c != held:

@@ -51,6 +51,23 @@ def edited_copies(rnd, words, copies, edits):
     return out
 
 
+def test_codes_of_one_set_only_are_counted_not_held():
+    rnd = random.Random(5)
+    for factor in (9, 19):
+        for _ in range(100):
+            base = rnd.sample(range(1000), 40)
+            sets = [sorted({*base[rnd.randint(0, 3):], *rnd.sample(range(1000, 1 << 60), rnd.randint(0, 6))})
+                    for _ in range(6)] + [rnd.sample(range(1000, 1 << 60), 30)]
+            sizes = [len(s) for s in sets]
+            whole = setlink.tree_links(list(range(7)), sizes, sets, factor)
+            raw = [np.array(sorted(s), "<u8").tobytes() for s in sets]
+            shared, left = setlink.only_shared(raw, sizes, factor)
+            found = setlink.tree_links(list(range(7)), left, shared, factor)
+            assert sets[6] and not shared[6]
+            assert len(found) == len(whole)
+            assert all(factor * len({*sets[a]} ^ {*sets[b]}) <= sizes[a] + sizes[b] for a, b in found)
+
+
 @pytest.mark.parametrize("factor", [9, 19])
 def test_tree_links(factor):
     rnd = random.Random(factor)
