@@ -118,3 +118,16 @@ def with_repeated(rows: DataFrame, token: str, expected: int, bits: int = FILTER
             yield batch.filter(pa.array(set_in(held, _spread(batch.column(at).to_numpy()))))
 
     return rows.mapInArrow(keep, rows.schema)
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``texts`` (doc_id, ..) joined with ``wanted`` (doc_id, ..), which is stored. Most
+    texts that aren't wanted are left out before anything is exchanged."""
+    of_id = F.xxhash64("doc_id")
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap(wanted.select(of_id.alias("hash"))))
+
+    @F.arrow_udf("boolean")
+    def is_held(hashes: pa.Array) -> pa.Array:
+        return pa.array(set_in(shared.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return texts.filter(is_held(of_id)).join(wanted, "doc_id")

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from . import setlink
 from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
                      text_bytes)
+from .frequent import texts_of, with_repeated
 from .shingles import WordRanks, gram_hashes, gram_sets, rarest_first, slices, word_hashes
 
 WORDS = 3
@@ -86,25 +87,27 @@ def _classes(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _records(docs: DataFrame, size: int, factor: int, frequent: list[int]) -> DataFrame:
-    """(token, sid): each set's first codes."""
+    """(token, sid, core): each set's first codes; linked sets share one that is core for both."""
 
     def run(batches):
         ranks = WordRanks(frequent)
         for batch in batches:
             for part in slices(batch):
-                tokens, sids = [], []
+                tokens, sids, core = [], [], []
                 for grams, ordered in rarest_first(part.column(1), size, ranks):
                     n = len(grams)
                     if n:
-                        first = min(n, n + (-n * (factor - 1) // (factor + 1)) + 2 + n // EXTRA)
+                        least = n + (-n * (factor - 1) // (factor + 1)) + 1
+                        first = min(n, least + 1 + n // EXTRA)
                         tokens.append(ordered[:first])
                         sids.append(np.full(first, sid_of(digest_of(grams)), np.int64))
+                        core.append(np.arange(first) < least)
                 if tokens:
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(sids))],
-                        ["token", "sid"])
+                        pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(sids)),
+                        pa.array(np.concatenate(core))], ["token", "sid", "core"])
 
-    return docs.mapInArrow(run, "token long, sid long")
+    return docs.mapInArrow(run, "token long, sid long, core boolean")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -146,19 +149,21 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
     release(spark)
     classes = rows.filter("key IS NOT NULL").groupBy("key", "sid", "n").agg(F.min("doc_id").alias("rep"))
     # a partner has at least (factor - 1) / (factor + 1) times the grams
-    needs = classes.select("sid", F.expr(
+    needs = classes.select("sid", "n", F.expr(
         f"least(2 + (n * {factor - 1} div {factor + 1}) div {EXTRA}, ceil(n * {factor - 1}D / {factor + 1}))"
     ).alias("need"))
+    # most tokens are unique: they leave before anything is exchanged by token
+    records = reliable_checkpoint(with_repeated(spark.read.parquet(f"{base}/records"), "token", total // RECORD_BYTES))
+    drop_table(spark, f"{base}/records")
     members = reliable_checkpoint(setlink.worth_joining(
-        reliable_checkpoint(setlink.blocks_of(
-            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/records"), total // RECORD_BYTES, needs)))),
+        reliable_checkpoint(setlink.blocks_of(reliable_checkpoint(setlink.members_of(records, needs, factor)))),
         classes.select("sid", "n"), factor))
-    drop_table(spark, f"{base}/records")
+    del records
     release(spark)
     in_large = members.groupBy("sid").agg((F.max("m") > setlink.SMALL).cast("int").alias("large"))
-    needed = (classes.join(in_large, "sid").groupBy(F.col("rep").alias("doc_id"))
-              .agg(F.max("large").alias("large")))
-    found = texts.join(needed, "doc_id").dropDuplicates(["doc_id", "text"])
+    needed = reliable_checkpoint(classes.join(in_large, "sid").groupBy(F.col("rep").alias("doc_id"))
+                                 .agg(F.max("large").alias("large")))
+    found = texts_of(texts, needed).dropDuplicates(["doc_id", "text"])
     nameless = (texts.filter("doc_id IS NULL").dropDuplicates(["text"])  # not reached by identifier
                 .withColumn("large", F.lit(1)))
     _sets(found.unionByName(nameless), size).write.partitionBy("large").parquet(f"{base}/sets")

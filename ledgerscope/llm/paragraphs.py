@@ -353,11 +353,12 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = spark.read.parquet(f"{base}/classes")
 
     _bands(texts).write.option("compression", "zstd").parquet(f"{base}/bands")
+    bands = reliable_checkpoint(with_repeated(spark.read.parquet(f"{base}/bands"), "token", size // BAND_BYTES))
+    drop_table(spark, f"{base}/bands")
     members = reliable_checkpoint(setlink.worth_joining(
-        reliable_checkpoint(setlink.blocks_of(
-            reliable_checkpoint(setlink.members_of(spark.read.parquet(f"{base}/bands"), size // BAND_BYTES)))),
+        reliable_checkpoint(setlink.blocks_of(reliable_checkpoint(setlink.members_of(bands)))),
         classes.select("sid", F.col("grams").alias("n")), FACTOR))
-    drop_table(spark, f"{base}/bands")
+    del bands
     release(spark)
     in_large = members.groupBy("sid").agg((F.max("m") > setlink.SMALL).cast("int").alias("large"))
     wanted = (classes.join(in_large, "sid").groupBy(F.col("first.doc_id").alias("doc_id"))

@@ -31,6 +31,7 @@ alternating large-star and small-star rounds, each checkpointed.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 
 import numpy as np
@@ -39,12 +40,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import reliable_checkpoint
-from .frequent import with_repeated
+from .common import release, reliable_checkpoint
 from .shingles import slices
 
 SMALL = 256
 CHUNK = 256
+#: How often records of sets that share too little are looked for.
+COUNTS = 2
 
 LINKS = "a binary, b binary"
 
@@ -175,21 +177,41 @@ def _group_links(rows: DataFrame, parts: int, factor: int) -> DataFrame:
             .sortWithinPartitions("grp").mapInArrow(run, LINKS))
 
 
-def members_of(records: DataFrame, expected: int, needs: DataFrame | None = None) -> DataFrame:
-    """(pivot, sid) from candidate records (token, sid), stored, about ``expected`` of them,
-    without tokens that only one sid has; a block's pivot is one of its members.
-    ``needs`` (sid, need): sids with fewer shared tokens than they need are left out."""
+def by_size(rows: DataFrame, factor: int) -> DataFrame:
+    """Records (token, sid, n, ..) twice, with tokens of their own for sets of like
+    sizes: for the set's rung on a ladder of sizes, and for the next. The sizes of
+    linked sets are at most a rung apart, so they have one of their rungs in common."""
+    ratio = math.log((factor + 1) / (factor - 1)) * (1 + 1e-9)
+    rung = F.floor(F.log("n") / ratio).cast("int")
+    return (rows.withColumn("rung", F.explode(F.array(rung, rung + 1)))
+            .withColumn("token", F.xxhash64("token", "rung")))
+
+
+def members_of(records: DataFrame, needs: DataFrame | None = None, factor: int = 0) -> DataFrame:
+    """(pivot, sid) from candidate records (token, sid), stored (and rid of unique tokens, see
+    ``with_repeated``), without tokens that only one sid has; a block's pivot is one of its members.
+    With ``needs`` (sid, n, need), records are (token, sid, core): linked sets share ``need``
+    tokens or more, and one that is core for both. Sets are counted against sets of like
+    size, and only core tokens form blocks."""
+    spark = records.sparkSession
+
     def shared_by_two(rows):
         return (rows.groupBy("token").agg(F.min("sid").alias("pivot"), F.max("sid").alias("other"))
                 .filter("pivot <> other").select("token", "pivot"))
 
-    # most tokens are unique: they leave before anything is exchanged by token
-    records = reliable_checkpoint(with_repeated(records, "token", expected))
     if needs is not None:
-        shared = reliable_checkpoint(records.join(shared_by_two(records), "token").select("token", "sid").distinct())
+        shared = reliable_checkpoint(records.join(shared_by_two(records), "token").select("token", "sid", "core").distinct())
+        release(spark)
         enough = (shared.groupBy("sid").agg(F.count("*").alias("c")).join(needs, "sid")
-                  .filter("c >= need").select("sid"))
-        records = reliable_checkpoint(shared.join(enough, "sid", "left_semi"))
+                  .filter("c >= need").select("sid", "n", "need"))
+        records = reliable_checkpoint(by_size(shared.join(enough, "sid"), factor).select("token", "sid", "rung", "need", "core"))
+        of_set = Window.partitionBy("sid", "rung")
+        for _ in range(COUNTS):
+            records = reliable_checkpoint(
+                records.join(shared_by_two(records), "token", "left_semi")
+                .withColumn("c", F.count("*").over(of_set)).filter("c >= need").drop("c"))
+            release(spark)
+        records = records.filter("core").select("token", "sid")
     others = (records.join(shared_by_two(records), "token").filter("sid <> pivot")
               .select("pivot", "sid").distinct())
     return others.unionByName(others.select("pivot", F.col("pivot").alias("sid")).distinct())
@@ -200,6 +222,7 @@ def blocks_of(members: DataFrame) -> DataFrame:
     at most ``SMALL``, all of them are one block, so each is moved once; larger ones
     keep the blocks of their pivots."""
     tree = reliable_checkpoint(components(members.select(F.col("pivot").alias("a"), F.col("sid").alias("b"))))
+    release(members.sparkSession)
     sizes = tree.groupBy("root").agg(F.count("*").alias("held"))
     sized = tree.join(sizes, "root")
     small = sized.filter(F.col("held") <= SMALL).select(F.col("root").alias("pivot"), F.col("node").alias("sid"))

@@ -3,6 +3,8 @@
 import random
 
 from ledgerscope.llm import paragraphs
+from ledgerscope.llm.common import reliable_checkpoint
+from ledgerscope.llm.frequent import texts_of
 
 from .test_paragraphs import prose
 
@@ -79,3 +81,13 @@ def test_overlapping_copies_against_brute_force(docs_of, monkeypatch):
         docs.append((i, " ".join(text)))
     found, wanted = covered(paragraphs.repeated_units(docs_of(docs)).collect()), brute_cover(docs)
     assert all(found.get(i, set()) >= cover for i, cover in wanted.items())
+
+
+def test_wanted_texts_as_by_a_join(spark):
+    rows = [(i, f"text {i}", i % 3) for i in [*range(2000), 5, 5]] + [(None, "none", 1), (-7, None, 2)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, other int")
+    wanted = reliable_checkpoint(spark.createDataFrame([(i, i) for i in (5, 77, -7, 10 ** 12)], "doc_id long, mark long"))
+    found = texts_of(texts, wanted)
+    assert sorted(found.collect()) == sorted(texts.join(wanted, "doc_id").collect())
+    held = [n for n in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "is_held" in n]
+    assert held  # the other texts leave before the join

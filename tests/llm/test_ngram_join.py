@@ -166,3 +166,26 @@ def test_sql(spark, small):
     cols = [d[0] for d in cur.description]
     rows = ngram_join.op5_ngram_join(spark, small).select(*cols).collect()
     assert sorted(map(tuple, rows)) == sorted(cur.fetchall())
+
+
+def test_sets_meet_sets_of_like_size_only(spark):
+    """Copies of one text at all lengths: just those of which one has 90 % of the other are linked,
+    and sets that share tokens, but differ in size, form no block."""
+    pairs, want = [], {}
+    for k, n in enumerate([*range(3, 40), 60, 99, 100, 101, 190, 200, 1000]):
+        words = [f"w{k}x{i}" for i in range(n + 2)]
+        for j, m in enumerate((n, -(-9 * n // 10), -(-9 * n // 10) - 1, n // 3)):
+            pairs.append((4 * k + j, " ".join(words[:m + 2]) if m > 0 else None))
+        for a, b in ((0, 1), (0, 2), (1, 2)):
+            sizes = sorted(len(grams(pairs[4 * k + x][1])) for x in (a, b))
+            want[4 * k + a, 4 * k + b] = sizes[0] > 0 and 100 * sizes[0] >= 90 * sizes[1]
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_documents(
+        spark.createDataFrame(pairs, "doc_id long, text string")).collect()}
+    for (a, b), linked in want.items():
+        assert not linked or found[a] == found[b]
+        assert linked or found[a] != found[b] or want.get((a, a + 1)) and want.get((a + 1, a + 2))
+
+    records = spark.createDataFrame([(t, s, True) for t in range(10) for s in (1, 2, 3)], "token long, sid long, core boolean")
+    needs = spark.createDataFrame([(1, 100, 2), (2, 1000, 2), (3, 105, 2)], "sid long, n long, need int")
+    members = setlink.members_of(setlink.reliable_checkpoint(records), needs, 19).collect()
+    assert sorted((r["pivot"], r["sid"]) for r in members) == [(1, 1), (1, 3)]
