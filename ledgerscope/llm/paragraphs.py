@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from . import near_copies, setlink
 from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
                      text_bytes)
-from .frequent import with_repeated
+from .frequent import texts_of, with_repeated
 from .shingles import SPACES, gram_hashes, mix, slices
 
 GRAM = 5
@@ -242,8 +242,10 @@ def _copied_runs(texts: DataFrame, base: str, rounds: int = 1) -> DataFrame:
         text_bytes(texts) // ANCHOR_BYTES))
     repeated = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                 .filter("a < b").select("anchor"))
-    wanted = anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted"))
-    (_windows(texts.join(wanted, "doc_id")).withColumn("round", F.pmod(F.xxhash64("hash", "anchor"), F.lit(rounds)).cast("int"))
+    wanted = reliable_checkpoint(
+        anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted")))
+    release(spark)
+    (_windows(texts_of(texts, wanted)).withColumn("round", F.pmod(F.xxhash64("hash", "anchor"), F.lit(rounds)).cast("int"))
      .write.partitionBy("round").option("compression", "zstd").parquet(f"{base}/windows"))
     release(spark)
     for k in range(rounds):
@@ -361,9 +363,9 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     del bands
     release(spark)
     in_large = members.groupBy("sid").agg((F.max("m") > setlink.SMALL).cast("int").alias("large"))
-    wanted = (classes.join(in_large, "sid").groupBy(F.col("first.doc_id").alias("doc_id"))
-              .agg(F.collect_set("sid").alias("wanted"), F.max("large").alias("large")))
-    found = texts.join(wanted, "doc_id")
+    wanted = reliable_checkpoint(classes.join(in_large, "sid").groupBy(F.col("first.doc_id").alias("doc_id"))
+                                 .agg(F.collect_set("sid").alias("wanted"), F.max("large").alias("large")))
+    found = texts_of(texts, wanted)
     _sets(found).write.partitionBy("large").parquet(f"{base}/sets")
     release(spark)
     setlink.links_of(members, spark.read.schema(SETS).parquet(f"{base}/sets"), FACTOR, parts).write.parquet(f"{base}/links")
