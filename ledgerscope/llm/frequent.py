@@ -60,10 +60,12 @@ def frequent_hashes(runs: DataFrame, expected: int, least: int) -> DataFrame:
             times += [np.frombuffer(x, np.uint32) for x in batch.column(2).to_pylist()]
         if hashes:
             every, n = np.concatenate(hashes), np.concatenate(times)
+            del batch, hashes, times
             order = np.argsort(every)
-            every, n = every[order], n[order].astype(np.int64)
+            every, n = every[order], n[order]
+            del order
             first = np.flatnonzero(np.diff(every, prepend=~every[:1]))
-            often = np.add.reduceat(n, first) >= least
+            often = np.add.reduceat(n, first, dtype=np.int64) >= least
             yield pa.RecordBatch.from_arrays([pa.array(every[first[often]].view(np.int64))], ["hash"])
 
     return runs.repartition(tasks(expected), "bucket").mapInArrow(add, "hash long")

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 import xxhash
 
 SPACES = "\t\n\x0b\x0c\r"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 _ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                    0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
