@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import math
 import sys
@@ -13,7 +14,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint, scratch_path  # noqa: F401
+from .. import session
+from ..session import scratch_path  # noqa: F401
 
 # Task closures carry this package's functions by value, so executors need the
 # public libraries only and no copy of the package.
@@ -24,6 +26,16 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that one task of a text-sized exchange is given.
 TASK_BYTES = 128 << 20
 
+#: Bytes that a Python worker is sent at once: a batch is held by Spark, on its way, and by
+#: the worker at the same time, beside the executor's heap.
+BATCH_BYTES = 1 << 20
+
+#: Bytes of input for each file of a working table, about.
+FILE_BYTES = 8 << 20
+#: Session settings while an operator is at work: Spark's size of a batch, and the most files
+#: of a working table (none: one for each partition).
+BATCH_KEY, FILES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch", "ledgerscope.files"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -51,6 +63,44 @@ def parts_for(spark: SparkSession, total_bytes: int, task_bytes: int = TASK_BYTE
     return max(1, least, math.ceil(total_bytes / task_bytes))
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """``df``, to be written, in no more partitions than :func:`files_for` allows: each is a
+    file, and for each local file the executor starts processes that set its rights."""
+    files = df.sparkSession.conf.get(FILES_KEY, None)
+    return df.coalesce(int(files)) if files else df
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """``session.reliable_checkpoint`` in few files: empty partitions have one too."""
+    return session.reliable_checkpoint(few_files(df))
+
+
+def files_for(spark: SparkSession, total_bytes: int) -> None:
+    """Let the operator at work write its tables in files for an input of so many bytes, if
+    the session's shuffle partitions are far more than it needs."""
+    files = math.ceil(total_bytes / FILE_BYTES) or 1
+    if 4 * files <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(FILES_KEY, str(files))
+
+
+def in_small_batches(operator):
+    """``operator`` (of a DataFrame first), whose own steps send ``BATCH_BYTES`` to Python
+    workers at once, not Spark's 64 MB; the session's setting is as before afterwards, and
+    what it says by :func:`files_for` ends with it."""
+    @functools.wraps(operator)
+    def run(docs, *args, **named):
+        conf = docs.sparkSession.conf
+        before = conf.get(BATCH_KEY)
+        conf.set(BATCH_KEY, str(BATCH_BYTES))
+        try:
+            return operator(docs, *args, **named)
+        finally:
+            conf.set(BATCH_KEY, before)
+            conf.unset(FILES_KEY)
+
+    return run
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Remove a working table that this run wrote and has read for the last time."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, release, reliable_checkpoint
+from .common import drop_table, few_files, release, reliable_checkpoint
 from .frequent import texts_of, with_repeated
 from .shingles import mix, slices
 
@@ -201,7 +201,7 @@ def near_copies(texts: DataFrame, seeds_of: DataFrame, runs: DataFrame, size: in
     wanted = reliable_checkpoint(
         pairs.select("doc_id", "at").unionByName(pairs.select(F.col("keep_doc_id").alias("doc_id"), F.col("keep_at").alias("at")))
         .groupBy("doc_id").agg(F.collect_set("at").alias("wanted")))
-    _places(texts_of(texts, wanted), read).write.option("compression", "zstd").parquet(f"{base}/places")
+    _places(few_files(texts_of(texts, wanted)), read).write.option("compression", "zstd").parquet(f"{base}/places")
     release(spark)
     places = spark.read.parquet(f"{base}/places").dropDuplicates(["doc_id", "at"])
     keepers = places.select(F.col("doc_id").alias("keep_doc_id"), F.col("at").alias("keep_at"),

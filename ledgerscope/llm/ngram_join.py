@@ -6,8 +6,8 @@ digest, so copies never meet pair by pair. Each class offers the first codes of
 set under one global order as candidate records: two sets of Jaccard similarity j
 share k of their first n - ceil(j n) + k codes, here with k = 2 + n / ``EXTRA``, so
 texts that have a few grams in common by chance are no candidates. The order puts grams with a rare
-word first: words are counted over the whole table (those seen ``OFTEN_IN_BATCH``
-times within a batch at least), and a gram's place is the rank of its rarest word
+word first: words are counted over the whole table (those seen ``OFTEN_IN_TASK``
+times within a task at least), and a gram's place is the rank of its rarest word
 among the ``ORDERED`` most frequent. The order steers cost alone; any order gives the
 same links. ``setlink`` turns records into blocks, joins
 them by prefix trees and finds the components.
@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import setlink
-from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
-                     text_bytes)
+from .common import (Rows, drop_table, few_files, files_for, in_small_batches, parts_for, read_table, release,
+                     reliable_checkpoint, scratch_path, text_bytes)
 from .frequent import texts_of, with_repeated
 from .shingles import WordRanks, gram_hashes, gram_sets, rarest_first, slices, word_hashes
 
@@ -38,7 +38,9 @@ WORDS = 3
 #: (1 + j) / (1 - j) for a similarity of j = 0.9.
 FACTOR = 19
 ORDERED = 1 << 16
-OFTEN_IN_BATCH = 4
+OFTEN_IN_TASK = 4
+#: Words that a task adds up at once, and distinct ones that it holds.
+COUNTED, HELD = 1 << 18, 1 << 20
 EXTRA = 40
 #: Bytes of text for each candidate record, about.
 RECORD_BYTES = 20
@@ -53,34 +55,59 @@ def sid_of(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
+class WordCounts:
+    """How often words occur, added up whenever ``COUNTED`` have come."""
+
+    def __init__(self):
+        self.words, self.times, self.new, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+
+    def add(self, words: np.ndarray) -> None:
+        self.new.append(words)
+        self.n += len(words)
+        if self.n >= COUNTED:
+            self.merge()
+
+    def merge(self) -> None:
+        words, times = np.unique(np.concatenate([self.words[:0], *self.new]), return_counts=True)
+        both, place = np.unique(np.concatenate((self.words, words)), return_inverse=True)
+        total = np.zeros(len(both), np.int64)
+        np.add.at(total, place, np.concatenate((self.times, times)))
+        self.words, self.times, self.new, self.n = both, total, [], 0
+
+
 def _classes(docs: DataFrame, size: int) -> DataFrame:
     """Rows of documents (doc_id, n, key, sid) and rows of frequent words (word, times)."""
 
+    names = ["is_doc", "doc_id", "n", "key", "sid", "word", "times"]
+    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+
+    def batch_of(rows, **columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[c], kind) if c in columns else pa.nulls(rows, kind) for c, kind in zip(names, kinds)], names)
+
+    def often(words, times):
+        chosen = times >= OFTEN_IN_TASK
+        n = int(chosen.sum())
+        return batch_of(n, is_doc=np.zeros(n, bool), word=words[chosen].view(np.int64), times=times[chosen])
+
     def run(batches):
-        for batch in batches:
-            ids, sizes, keys, sids, seen = [], [], [], [], []
-            for part in slices(batch):
-                words, ends = word_hashes(part.column(1))
-                start = 0
-                for i, end in zip(part.column(0).to_pylist(), ends.tolist()):
-                    grams = np.unique(gram_hashes(words[start:end], size))
-                    ids.append(i)
-                    sizes.append(len(grams))
-                    keys.append(digest_of(grams) if len(grams) else None)
-                    sids.append(sid_of(keys[-1]) if len(grams) else None)
-                    start = end
-                seen.append(words)
-            words, times = np.unique(np.concatenate(seen), return_counts=True)
-            often = times >= OFTEN_IN_BATCH
-            words, times = words[often], times[often]
-            n, m = len(ids), len(words)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([True] * n + [False] * m), pa.array(ids + [None] * m, pa.int64()),
-                pa.array(sizes + [None] * m, pa.int64()), pa.array(keys + [None] * m, pa.binary()),
-                pa.array(sids + [None] * m, pa.int64()),
-                pa.array([None] * n + words.view(np.int64).tolist(), pa.int64()),
-                pa.array([None] * n + times.tolist(), pa.int64())],
-                ["is_doc", "doc_id", "n", "key", "sid", "word", "times"])
+        seen = WordCounts()
+        for part in (part for batch in batches for part in slices(batch)):
+            ids, sizes, keys, sids, start = part.column(0).to_pylist(), [], [], [], 0
+            words, ends = word_hashes(part.column(1))
+            for end in ends.tolist():
+                grams = np.unique(gram_hashes(words[start:end], size))
+                sizes.append(len(grams))
+                keys.append(digest_of(grams) if len(grams) else None)
+                sids.append(sid_of(keys[-1]) if len(grams) else None)
+                start = end
+            yield batch_of(len(ids), is_doc=np.ones(len(ids), bool), doc_id=ids, n=sizes, key=keys, sid=sids)
+            seen.add(words)
+            if len(seen.words) >= HELD:
+                yield often(seen.words, seen.times)
+                seen = WordCounts()
+        seen.merge()
+        yield often(seen.words, seen.times)
 
     return docs.mapInArrow(
         run, "is_doc boolean, doc_id long, n long, key binary, sid long, word long, times long")
@@ -129,12 +156,14 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, SETS)
 
 
+@in_small_batches
 def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     spark = docs.sparkSession
     release(spark)
     total = text_bytes(docs, text_col)
+    files_for(spark, total)
     parts = parts_for(spark, total)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = scratch_path(spark, f"ngram-join-{uuid.uuid4().hex}")
@@ -166,7 +195,7 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
     found = texts_of(texts, needed).dropDuplicates(["doc_id", "text"])
     nameless = (texts.filter("doc_id IS NULL").dropDuplicates(["text"])  # not reached by identifier
                 .withColumn("large", F.lit(1)))
-    _sets(found.unionByName(nameless), size).write.partitionBy("large").parquet(f"{base}/sets")
+    _sets(few_files(found.unionByName(nameless)), size).write.partitionBy("large").parquet(f"{base}/sets")
     release(spark)
     links = setlink.links_of(members, spark.read.schema(SETS).parquet(f"{base}/sets"), factor, parts)
     links.write.parquet(f"{base}/links")

@@ -43,8 +43,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import near_copies, setlink
-from .common import (Rows, drop_table, parts_for, read_table, release, reliable_checkpoint, scratch_path,
-                     text_bytes)
+from .common import (Rows, drop_table, few_files, files_for, in_small_batches, parts_for, read_table, release,
+                     reliable_checkpoint, scratch_path, text_bytes)
 from .frequent import texts_of, with_repeated
 from .shingles import SPACES, gram_hashes, mix, slices
 
@@ -245,17 +245,19 @@ def _copied_runs(texts: DataFrame, base: str, rounds: int = 1) -> DataFrame:
     wanted = reliable_checkpoint(
         anchors.join(repeated, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted")))
     release(spark)
-    (_windows(texts_of(texts, wanted)).withColumn("round", F.pmod(F.xxhash64("hash", "anchor"), F.lit(rounds)).cast("int"))
+    (_windows(few_files(texts_of(texts, wanted))).withColumn("round", F.pmod(F.xxhash64("hash", "anchor"), F.lit(rounds)).cast("int"))
      .write.partitionBy("round").option("compression", "zstd").parquet(f"{base}/windows"))
     release(spark)
     for k in range(rounds):
         windows = (spark.read.schema(f"{WINDOWS}, round int").parquet(f"{base}/windows").filter(F.col("round") == k))
-        (windows.groupBy("hash", "anchor").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
-         .filter("first.doc_id < last").select("hash", "anchor", "first")
+        (few_files(windows.groupBy("hash", "anchor")
+                   .agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
+                   .filter("first.doc_id < last").select("hash", "anchor", "first"))
          .write.option("compression", "zstd").parquet(f"{base}/classes_{k}"))
         release(spark)
-        (windows.join(spark.read.parquet(f"{base}/classes_{k}"), ["hash", "anchor"]).filter("first.doc_id < doc_id")
-         .select("doc_id", "at", "start", "stop", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.at").alias("keep_at"))
+        (few_files(windows.join(spark.read.parquet(f"{base}/classes_{k}"), ["hash", "anchor"]).filter("first.doc_id < doc_id")
+                   .select("doc_id", "at", "start", "stop", F.col("first.doc_id").alias("keep_doc_id"),
+                           F.col("first.at").alias("keep_at")))
          .write.mode("append").option("compression", "zstd").parquet(f"{base}/copies"))
         drop_table(spark, f"{base}/classes_{k}")
         drop_table(spark, f"{base}/windows/round={k}")
@@ -331,6 +333,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "wanted", "large").mapInArrow(run, SETS)
 
 
+@in_small_batches
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """The paragraphs of copied passages, of texts that have identifiers of their own: doc_id, at, words, start, length,
@@ -338,6 +341,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with copy_at, an exact copy to its first and last word."""
     spark = docs.sparkSession
     size = text_bytes(docs, text_col)
+    files_for(spark, size)
     parts = parts_for(spark, size)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
         "doc_id IS NOT NULL")
@@ -348,8 +352,8 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     drop_table(spark, f"{base}/anchors")
     _units(texts).write.option("compression", "zstd").parquet(f"{base}/units")
     units = spark.read.parquet(f"{base}/units")
-    (units.groupBy("sid", "key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"),
-                                     F.min("grams").alias("grams"))
+    (few_files(units.groupBy("sid", "key").agg(F.min(F.struct("doc_id", "at")).alias("first"),
+                                               F.max("doc_id").alias("last"), F.min("grams").alias("grams")))
      .write.option("compression", "zstd").parquet(f"{base}/classes"))
     release(spark)
     classes = spark.read.parquet(f"{base}/classes")
@@ -365,7 +369,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     in_large = members.groupBy("sid").agg((F.max("m") > setlink.SMALL).cast("int").alias("large"))
     wanted = reliable_checkpoint(classes.join(in_large, "sid").groupBy(F.col("first.doc_id").alias("doc_id"))
                                  .agg(F.collect_set("sid").alias("wanted"), F.max("large").alias("large")))
-    found = texts_of(texts, wanted)
+    found = few_files(texts_of(texts, wanted))
     _sets(found).write.partitionBy("large").parquet(f"{base}/sets")
     release(spark)
     setlink.links_of(members, spark.read.schema(SETS).parquet(f"{base}/sets"), FACTOR, parts).write.parquet(f"{base}/links")
@@ -451,14 +455,14 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return "".join(out) + text[done:]
 
     def run(batches):
-        for batch in batches:
-            spans = batch.column(len(names)).to_pylist()
-            texts = batch.column(column)
+        for part in (part for batch in batches for part in slices(batch, column)):
+            spans = part.column(len(names)).to_pylist()
+            texts = part.column(column)
             new = [without(t.as_py(), s) if s and t.as_py() else t.as_py() for t, s in zip(texts, spans)]
             keep = [not s or bool((t or "").strip(" " + SPACES)) for t, s in zip(new, spans)]
-            columns = [pa.array(new, texts.type) if i == column else batch.column(i) for i in range(len(names))]
+            columns = [pa.array(new, texts.type) if i == column else part.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(
-                [batch.schema.field(i) for i in range(len(names))])).filter(pa.array(keep, pa.bool_()))
+                [part.schema.field(i) for i in range(len(names))])).filter(pa.array(keep, pa.bool_()))
 
     return rows.mapInArrow(run, docs.schema)
 
