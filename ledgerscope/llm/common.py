@@ -33,7 +33,7 @@ BATCH_BYTES = 1 << 20
 #: Bytes of input for each file of a working table, about.
 FILE_BYTES = 8 << 20
 #: Session settings while an operator is at work: Spark's size of a batch, and the most files
-#: of a working table (none: one for each partition).
+#: of a working table (0: one for each partition).
 BATCH_KEY, FILES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch", "ledgerscope.files"
 
 
@@ -66,8 +66,8 @@ def parts_for(spark: SparkSession, total_bytes: int, task_bytes: int = TASK_BYTE
 def few_files(df: DataFrame) -> DataFrame:
     """``df``, to be written, in no more partitions than :func:`files_for` allows: each is a
     file, and for each local file the executor starts processes that set its rights."""
-    files = df.sparkSession.conf.get(FILES_KEY, None)
-    return df.coalesce(int(files)) if files else df
+    files = int(df.sparkSession.conf.get(FILES_KEY, "0"))
+    return df.coalesce(files) if files else df
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
@@ -86,12 +86,15 @@ def files_for(spark: SparkSession, total_bytes: int) -> None:
 def in_small_batches(operator):
     """``operator`` (of a DataFrame first), whose own steps send ``BATCH_BYTES`` to Python
     workers at once, not Spark's 64 MB; the session's setting is as before afterwards, and
-    what it says by :func:`files_for` ends with it."""
+    what it says by :func:`files_for` ends with it. An operator that it calls is a step."""
     @functools.wraps(operator)
     def run(docs, *args, **named):
         conf = docs.sparkSession.conf
+        if conf.get(FILES_KEY, None) is not None:
+            return operator(docs, *args, **named)
         before = conf.get(BATCH_KEY)
         conf.set(BATCH_KEY, str(BATCH_BYTES))
+        conf.set(FILES_KEY, "0")
         try:
             return operator(docs, *args, **named)
         finally:

@@ -26,18 +26,20 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (ascii_lower, parts_for, read_table, reliable_checkpoint, text_bytes,
-                     text_or_empty)
+from .common import (ascii_lower, few_files, files_for, in_small_batches, parts_for, read_table,
+                     reliable_checkpoint, text_bytes, text_or_empty)
 
 PREFIX = 24
 
 
+@in_small_batches
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      keep: str = "max") -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
     text_sha256 (of the normalised text)."""
     spark = docs.sparkSession
     total = text_bytes(docs, text_col)
+    files_for(spark, total)
     parts = parts_for(spark, total)
     norm = ascii_lower(text_or_empty(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"))
@@ -76,6 +78,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         (F.col("first") & F.col("doc_id").eqNullSafe(keep_id)).alias("kept"), "text_sha256")
 
 
+@in_small_batches
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Rows repeated with
@@ -85,7 +88,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.col("doc_id").alias("_k"), F.col("text_sha256").alias("_s"))
     rows = docs.withColumn(mark, F.sha2(ascii_lower(text_or_empty(text_col)), 256))
     out = rows.join(kept, (rows[mark] == kept["_s"]) & rows[id_col].eqNullSafe(kept["_k"]), "left_semi")
-    return out.dropDuplicates([mark]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return few_files(out.dropDuplicates([mark]).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -212,6 +212,7 @@ def similar_documents(docs: DataFrame, size: int = WORDS, factor: int = FACTOR,
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+@in_small_batches
 def keep_one_of_each(docs: DataFrame, size: int = 5, factor: int = 9, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component of documents that are similar at
@@ -223,7 +224,7 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, factor: int = 9, id_col: st
     gone_key = "_gone" + rows.key
     gone = (similar_documents(rows.docs, size, factor, rows.key, text_col)
             .filter("doc_id <> component_id AND n_shingles > 0").select(F.col("doc_id").alias(gone_key)).distinct())
-    return rows.only(rows.docs.join(gone, F.col(rows.key) == F.col(gone_key), "left_anti"))
+    return few_files(rows.only(rows.docs.join(gone, F.col(rows.key) == F.col(gone_key), "left_anti")))
 
 
 def op5_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -434,6 +434,7 @@ def whole_spans(spans: list) -> list[tuple[int, int]]:
     return out
 
 
+@in_small_batches
 def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without their copied passages, all columns as they were. Documents are
     rows told apart by identifier and text, so what is cut from one text never touches
@@ -464,7 +465,7 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(
                 [part.schema.field(i) for i in range(len(names))])).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, docs.schema)
+    return few_files(rows).mapInArrow(run, docs.schema)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
